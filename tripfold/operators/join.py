@@ -9,6 +9,7 @@ fact rows (N:1).
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -33,11 +34,41 @@ class DimensionStats:
         return self.keyed_rows == self.distinct_keys
 
 
-def dimension_stats(dim: DataFrame, key: str) -> DimensionStats:
-    """One small job: row count, non-null key count, distinct key count."""
+_STATS_CACHE: dict[tuple, DimensionStats] = {}
+_STATS_LOCK = threading.Lock()
+
+
+def _stats_key(dim: DataFrame, key: str) -> tuple:
+    # Same analysed plan over the same files ⇒ same statistics.  The plan's
+    # semantic hash ignores cosmetic differences (aliases, expression ids).
+    return (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(),
+            tuple(sorted(dim.inputFiles())), key)
+
+
+def dimension_stats(dim: DataFrame, key: str, use_cache: bool = True) -> DimensionStats:
+    """One small job: row count, non-null key count, distinct key count.
+
+    Measured once per (plan, files, key) in a session and then reused, so
+    a dimension shared by many reports is counted once.
+    """
+    cache_key = _stats_key(dim, key) if use_cache else None
+    if cache_key is not None:
+        with _STATS_LOCK:
+            hit = _STATS_CACHE.get(cache_key)
+        if hit is not None:
+            return hit
     row = dim.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("k"),
                   F.count_distinct(key).alias("d")).first()
-    return DimensionStats(int(row["n"]), int(row["k"]), int(row["d"]))
+    stats = DimensionStats(int(row["n"]), int(row["k"]), int(row["d"]))
+    if cache_key is not None:
+        with _STATS_LOCK:
+            _STATS_CACHE[cache_key] = stats
+    return stats
+
+
+def clear_stats_cache() -> None:
+    with _STATS_LOCK:
+        _STATS_CACHE.clear()
 
 
 def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,

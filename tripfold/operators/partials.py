@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from tripfold import schema as S
 
-# Partial measures: (output name, aggregate over cleaned rows).
+
 def _row_measures() -> list[Column]:
+    """Partial measures as aggregates over cleaned, derived rows."""
     return [
         F.count(F.lit(1)).alias("trips"),
         F.sum(S.DISTANCE).alias("sum_distance"),

@@ -24,4 +24,15 @@ def top_k(df: DataFrame, k: int, desc: Sequence[str] = (), asc: Sequence[str] =
 
 
 def sort(df: DataFrame, desc: Sequence[str] = (), asc: Sequence[str] = ()) -> DataFrame:
+    """Global sort (range-partitioned; for results of any size)."""
     return df.orderBy(*ordering(desc, asc))
+
+
+def sort_bounded(df: DataFrame, desc: Sequence[str] = (), asc: Sequence[str] = ()) -> DataFrame:
+    """Sort a result whose size is bounded by its key domain.
+
+    Use only on finished reports (one row per hour, borough, payment code…):
+    the rows are gathered into one partition and sorted there, which skips
+    the sampling job a range-partitioned sort needs.
+    """
+    return df.repartition(1).sortWithinPartitions(*ordering(desc, asc))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tripfold import schema as S
 from tripfold.functions import labels as L
 from tripfold.operators.partials import measures, mean
-from tripfold.operators.topk import sort, top_k
+from tripfold.operators.topk import sort_bounded, top_k
 from tripfold.plans.reports import place_measures
 
 # Reference value of the chart/table threshold on borough trips.
@@ -35,9 +35,9 @@ def zone_labels(zone_report: DataFrame, k: int = 10) -> DataFrame:
 def borough_min_trips(borough_report: DataFrame, min_trips: int = MIN_BOROUGH_TRIPS) -> DataFrame:
     """Boroughs above a trip threshold (HAVING), ascending by revenue."""
     kept = borough_report.filter(F.col("trips") > F.lit(min_trips))
-    return sort(kept.select(S.BOROUGH, "trips", "total_revenue",
-                            L.millions("total_revenue").alias("revenue_millions")),
-                asc=["total_revenue", S.BOROUGH])
+    return sort_bounded(kept.select(S.BOROUGH, "trips", "total_revenue",
+                                    L.millions("total_revenue").alias("revenue_millions")),
+                        asc=["total_revenue", S.BOROUGH])
 
 
 def payment_labels(payment_report: DataFrame) -> DataFrame:
@@ -45,9 +45,9 @@ def payment_labels(payment_report: DataFrame) -> DataFrame:
     codes = list(L.PAYMENT_NAMES)
     kept = payment_report.filter(F.col(S.PAYMENT).isin(codes))
     name = L.payment_name()
-    return sort(kept.select(S.PAYMENT, name.alias("payment_method"), "trips",
-                            "avg_tip_pct", L.millions_label(name).alias("label")),
-                asc=[S.PAYMENT])
+    return sort_bounded(kept.select(S.PAYMENT, name.alias("payment_method"), "trips",
+                                    "avg_tip_pct", L.millions_label(name).alias("label")),
+                        asc=[S.PAYMENT])
 
 
 def share_of_total(src: DataFrame, zones: DataFrame, from_partials: bool = False) -> DataFrame:
@@ -59,7 +59,7 @@ def share_of_total(src: DataFrame, zones: DataFrame, from_partials: bool = False
     """
     m = place_measures(src, zones, [S.BOROUGH], from_partials)
     whole = Window.partitionBy()
-    return sort(m.select(
+    return sort_bounded(m.select(
         S.BOROUGH, "trips",
         F.round("sum_total", 2).alias("total_revenue"),
         F.round(F.col("trips") * F.lit(100.0) / F.sum("trips").over(whole), 2)
@@ -103,15 +103,16 @@ def blended_vs_card_tip(src: DataFrame, from_partials: bool = False,
 
 def demand_chart_feed(hour_report: DataFrame) -> DataFrame:
     """Hourly trips in millions with the mean tip %, ordered by hour."""
-    return sort(hour_report.select(S.HOUR, "trips", L.millions("trips").alias("trips_millions"),
-                                   "avg_tip_pct"), asc=[S.HOUR])
+    feed = hour_report.select(S.HOUR, "trips", L.millions("trips").alias("trips_millions"),
+                              "avg_tip_pct")
+    return sort_bounded(feed, asc=[S.HOUR])
 
 
 def formatted_borough_table(borough_report: DataFrame,
                             min_trips: int = MIN_BOROUGH_TRIPS) -> DataFrame:
     """Borough table as text: counts with separators, money 2 dp or 0 dp ≥ 1M."""
     kept = borough_report.filter(F.col("trips") > F.lit(min_trips))
-    return sort(kept.select(
+    return sort_bounded(kept.select(
         S.BOROUGH,
         L.report_count("trips").alias("trips_text"),
         L.report_number("total_revenue").alias("total_revenue_text"),

@@ -19,7 +19,7 @@ from tripfold.functions import derive as D
 from tripfold.functions.rules import Rule, apply_rules, bench_rules, strict_rules
 from tripfold.operators.join import left_join_dimension
 from tripfold.operators.partials import measures, mean, merge, money
-from tripfold.operators.topk import sort, top_k
+from tripfold.operators.topk import sort_bounded, top_k
 
 
 def clean_trips(trips: DataFrame, rules: list[Rule] | None = None,
@@ -32,7 +32,7 @@ def clean_trips(trips: DataFrame, rules: list[Rule] | None = None,
 # ---------------------------------------------------------------- by hour
 def hour_report(src: DataFrame, from_partials: bool = False) -> DataFrame:
     m = measures(src, [S.HOUR], from_partials)
-    return sort(m.select(
+    return sort_bounded(m.select(
         S.HOUR, "trips",
         mean("sum_distance").alias("avg_distance_mi"),
         mean("sum_fare").alias("avg_fare"),
@@ -71,22 +71,23 @@ def borough_report(src: DataFrame, zones: DataFrame, from_partials: bool = False
         S.BOROUGH, "trips",
         money("sum_total").alias("total_revenue"),
         mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct"))
-    return sort(report, desc=["total_revenue"], asc=[S.BOROUGH])
+    return sort_bounded(report, desc=["total_revenue"], asc=[S.BOROUGH])
 
 
 # ---------------------------------------------------------- by payment
 def payment_report(src: DataFrame, from_partials: bool = False) -> DataFrame:
     m = measures(src, [S.PAYMENT], from_partials)
-    return sort(m.select(S.PAYMENT, "trips",
-                         mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct")),
-                asc=[S.PAYMENT])
+    return sort_bounded(m.select(S.PAYMENT, "trips",
+                                 mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct")),
+                        asc=[S.PAYMENT])
 
 
 # --------------------------------------------------- benchmark report
 def location_report(trips: DataFrame, rules: list[Rule] | None = None,
                     digits: int | None = None) -> DataFrame:
     """Trips and mean unguarded tip % per place id (the scaling query)."""
-    kept = apply_rules(trips, bench_rules() if rules is None else rules).withColumn(S.TIP_PCT, D.tip_pct_unguarded())
+    kept = apply_rules(trips, bench_rules() if rules is None else rules)
+    kept = kept.withColumn(S.TIP_PCT, D.tip_pct_unguarded())
     avg = F.avg(S.TIP_PCT)
     return kept.groupBy(S.LOCATION).agg(
         F.count(F.lit(1)).alias("trips"),
@@ -101,7 +102,7 @@ def enriched_trips(clean: DataFrame, zones: DataFrame) -> DataFrame:
 
 def trip_minutes_by_hour(clean: DataFrame, digits: int = 6) -> DataFrame:
     """Duration statistics per pickup hour (durations may be negative)."""
-    return sort(clean.groupBy(S.HOUR).agg(
+    return sort_bounded(clean.groupBy(S.HOUR).agg(
         F.count(F.lit(1)).alias("trips"),
         F.round(F.avg(S.MINUTES), digits).alias("avg_minutes"),
         F.round(F.min(S.MINUTES), digits).alias("min_minutes"),

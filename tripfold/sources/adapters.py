@@ -22,9 +22,26 @@ RETURNFLAG_PAYMENT_CODES = {"A": 1, "N": 2, "R": 3}
 EVENTS_TRIP_ID = "event_id"
 LINEITEM_TRIP_ID = "trip_id"
 
+# Read schemas of the generated tables (the columns the adapters use).  A
+# declared schema skips footer-based inference on every read and makes a
+# type change in the files fail the scan.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def _code_map(column: str, codes: dict[str, int]) -> F.Column:
@@ -64,13 +81,12 @@ def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zones_from_nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region as the zone dimension (id = nation key).
 
-    Both inputs are fixed-size reference tables (25 and 5 rows at every
-    scale factor), so the join inside the dimension is a broadcast of a
-    bounded table.
+    No join hint: Spark broadcasts a side only when its measured size is
+    under ``spark.sql.autoBroadcastJoinThreshold``.
     """
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner")
+    return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
             .select(F.col("n_nationkey").cast("int").alias(S.LOCATION),
                     F.col("r_name").alias(S.BOROUGH),
                     F.col("n_name").alias(S.ZONE)))
@@ -105,14 +121,14 @@ def zones_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Many suppliers share one (region, nation) pair, so names are not unique
     per id – the same property the real zone file has.  The supplier table
-    grows with the scale factor, so it is joined by key, not broadcast
-    blindly; nation/region are fixed-size.
+    grows with the scale factor, so no side is forced to broadcast: Spark
+    broadcasts only what its size threshold admits and shuffles the rest.
     """
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner")
-    return (s.join(F.broadcast(nr), s.s_nationkey == nr.n_nationkey, "inner")
+    nr = n.join(r, n.n_regionkey == r.r_regionkey, "inner")
+    return (s.join(nr, s.s_nationkey == nr.n_nationkey, "inner")
             .select(F.col("s_suppkey").cast("int").alias(S.LOCATION),
                     F.col("r_name").alias(S.BOROUGH),
                     F.col("n_name").alias(S.ZONE)))
