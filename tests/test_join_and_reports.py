@@ -1,0 +1,107 @@
+import pytest
+from fixtures import trap_trips, zones
+
+from tripfold import schema as S
+from tripfold.operators.join import DimensionKeyError, left_join_dimension
+from tripfold.plans import presentation as P
+from tripfold.plans import reports as Q
+from tripfold.sources.files import read_zones_csv
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_left_join_keeps_unmatched_and_null_ids(spark):
+    clean = Q.clean_trips(trap_trips(spark))
+    out = Q.enriched_trips(clean, zones(spark))
+    assert out.count() == clean.count()  # N:1 join never changes the row count
+    rows = {r.case_name: r for r in out.collect()}
+    assert rows["location_without_zone"][S.BOROUGH] is None
+    assert rows["location_null"][S.ZONE] is None
+    assert rows["valid"][S.ZONE] == "Midtown"
+
+
+def test_duplicate_dimension_key_fails_loudly(spark):
+    dup = spark.createDataFrame([(1, "A", "x"), (1, "B", "y")], S.ZONES)
+    with pytest.raises(DimensionKeyError):
+        left_join_dimension(Q.clean_trips(trap_trips(spark)), dup, S.LOCATION).count()
+
+
+def test_broadcast_only_under_the_bound(spark):
+    clean = Q.clean_trips(trap_trips(spark))
+    small = left_join_dimension(clean, zones(spark), S.LOCATION)
+    assert "BroadcastHashJoin" in plan_of(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = left_join_dimension(clean, zones(spark), S.LOCATION, max_broadcast_rows=2)
+        assert "BroadcastHashJoin" not in plan_of(big)
+        assert sorted(big.collect(), key=repr) == sorted(small.collect(), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_zone_report_groups_by_name_not_id(spark):
+    # ids 1 and 2 share (Manhattan, Midtown): one group of both ids' trips
+    rows = [(1,), (2,), (2,), (5,)]
+    trips = trap_trips(spark).filter("case_name = 'valid'").drop(S.LOCATION)
+    many = spark.createDataFrame(rows, f"{S.LOCATION} int").crossJoin(trips)
+    rep = {(r.Borough, r.Zone): r.trips
+           for r in Q.zone_report(Q.clean_trips(many), zones(spark)).collect()}
+    assert rep == {("Manhattan", "Midtown"): 3, ("Queens", "Alpha"): 1}
+
+
+def test_top_k_breaks_ties_by_name_with_nulls_last(spark):
+    trips = trap_trips(spark).filter("case_name = 'valid'").drop(S.LOCATION)
+    ids = [(6,), (5,), (999,), (1,), (1,)]  # Alpha, Beta, NULL group tie on 1 trip
+    df = spark.createDataFrame(ids, f"{S.LOCATION} int").crossJoin(trips)
+    top = Q.top_zones(Q.clean_trips(df), zones(spark), k=3).collect()
+    assert [(r.Zone, r.trips) for r in top] == [("Midtown", 2), ("Alpha", 1), ("Beta", 1)]
+
+
+def test_na_is_a_value_in_csv_and_reports(spark, tmp_path):
+    csv = tmp_path / "zones.csv"
+    csv.write_bytes(b'"LocationID","Borough","Zone","service_zone"\r\n'
+                    b'1,"Manhattan","Midtown","Yellow Zone"\r\n'
+                    b'2,"Manhattan","Midtown","Yellow Zone"\r\n'
+                    b'3,"Unknown","N/A","N/A"\r\n'
+                    b'4,"N/A","Outside","N/A"\r\n')
+    z = read_zones_csv(spark, str(csv))
+    assert z.schema[S.LOCATION].dataType.simpleString() == "int"
+    assert sorted(tuple(r) for r in z.collect())[2:] == [(3, "Unknown", "N/A"), (4, "N/A", "Outside")]
+    trips = trap_trips(spark).filter("case_name = 'valid'").drop(S.LOCATION)
+    df = spark.createDataFrame([(3,), (4,), (4,)], f"{S.LOCATION} int").crossJoin(trips)
+    rep = {r.Borough: r.trips for r in Q.borough_report(Q.clean_trips(df), z).collect()}
+    assert rep == {"Unknown": 1, "N/A": 2}
+
+
+def test_worked_example_mean_of_ratios(spark):
+    # five (hour, tip %) pairs: hour 9 -> (15+25)/2, hour 18 -> (20+30+22)/3
+    pairs = [(18, 20.0), (9, 15.0), (18, 30.0), (9, 25.0), (18, 22.0)]
+    df = spark.createDataFrame(
+        [(h, p, 1.0, 1.0, 1.0) for h, p in pairs],
+        f"{S.HOUR} int, {S.TIP_PCT} double, {S.DISTANCE} double, {S.FARE} double, {S.TOTAL} double")
+    got = {r.hour: r.avg_tip_pct for r in Q.hour_report(df).collect()}
+    assert got == {9: 20.0, 18: 24.0}
+
+
+def test_payment_labels_and_formatting(spark):
+    rep = spark.createDataFrame([(1, 29875493, 25.1), (2, 5218952, 0.0), (5, 10, 1.0)],
+                                "payment_type bigint, trips bigint, avg_tip_pct double")
+    rows = P.payment_labels(rep).collect()
+    assert [r.payment_method for r in rows] == ["Credit card", "Cash"]
+    assert rows[0].label == "Credit card\n(29.9M trips)"
+    bor = spark.createDataFrame([("Manhattan", 31659622, 756732632.15, 21.63),
+                                 ("EWR", 1218, 114743.09, 25.07), ("Tiny", 5, 1.0, 1.0)],
+                                "Borough string, trips bigint, total_revenue double, avg_tip_pct double")
+    t = {r.Borough: r for r in P.formatted_borough_table(bor).collect()}
+    assert set(t) == {"Manhattan", "EWR"}
+    assert (t["Manhattan"].trips_text, t["Manhattan"].total_revenue_text) == ("31,659,622", "756,732,632")
+    assert (t["EWR"].total_revenue_text, t["EWR"].avg_tip_pct_text) == ("114,743.09", "25.07")
+
+
+def test_peak_trough_ties_go_to_earliest_hour(spark):
+    h = spark.createDataFrame([(3, 5, 1.0), (1, 5, 2.0), (2, 9, 2.0), (4, 9, 0.5)],
+                              "hour int, trips bigint, avg_tip_pct double")
+    r = P.peak_trough(h).first()
+    assert (r.peak_hour, r.trough_hour, r.top_tip_hour) == (2, 1, 1)
