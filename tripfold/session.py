@@ -13,33 +13,45 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults for a large cluster; AQE coalesces the shuffle down at run time,
-# so a wide initial width costs little on small inputs.
+# Defaults for a large cluster, applied only where the cluster's own
+# configuration (spark-submit / spark-defaults) leaves a key unset.
 CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Parquet trip files are column-pruned to a handful of columns, so a
-    # 256 MB split keeps task count sane at 100 TB without big tasks.
+    # Shuffles here carry partial aggregates (bounded by key domain × map
+    # tasks) except a row-level join to an over-bound dimension; a wide
+    # initial width keeps those partitions small and AQE coalesces the rest.
+    "spark.sql.shuffle.partitions": "2048",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    # Trip scans are pruned to a handful of columns, so 256 MB splits keep
+    # the task count sane at 100 TB without making tasks heavy.
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.ui.enabled": "false",
 }
 
+# Our own policy for every job: no web UI server.
+STATIC_SETTINGS = {"spark.ui.enabled": "false"}
+
 
 def build_session(app_name: str = "tripfold", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the library's defaults.
 
     ``master`` is only for tests and local runs; leave it ``None`` under
-    ``spark-submit``.
+    ``spark-submit``.  ``conf`` entries are set explicitly; the defaults
+    above fill only keys the cluster did not configure.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**CLUSTER_DEFAULTS, **(conf or {})}.items():
+    for key, value in {**STATIC_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    configured = spark.sparkContext.getConf()
+    for key, value in CLUSTER_DEFAULTS.items():
+        if key not in (conf or {}) and not configured.contains(key):
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
