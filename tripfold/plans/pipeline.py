@@ -20,9 +20,12 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql.types import StructType
 
+from tripfold import schema as S
 from tripfold.functions.rules import Rule, strict_rules
 from tripfold.operators.partials import partial_aggregate
+from tripfold.operators.topk import top_k
 from tripfold.plans import reports as Q
 from tripfold.sinks import PartialsStore
 
@@ -35,6 +38,7 @@ class PipelineResult:
     top_zones: list[Row] = field(default_factory=list)
     by_borough: list[Row] = field(default_factory=list)
     by_payment: list[Row] = field(default_factory=list)
+    schemas: dict[str, StructType] = field(default_factory=dict)
 
     @property
     def pct_kept(self) -> float | None:
@@ -42,10 +46,12 @@ class PipelineResult:
 
 
 def build_reports(partials: DataFrame, zones: DataFrame, k: int = 15) -> dict[str, DataFrame]:
+    """The four reports as plans over (persisted or stored) partials."""
+    named = Q.place_measures(partials, zones, [S.BOROUGH, S.ZONE], from_partials=True)
     return {
         "by_hour": Q.hour_report(partials, from_partials=True),
-        "top_zones": Q.top_zones(partials, zones, k=k, from_partials=True),
-        "by_borough": Q.borough_report(partials, zones, from_partials=True),
+        "top_zones": top_k(Q.finalise_zones(named), k, desc=["trips"], asc=[S.BOROUGH, S.ZONE]),
+        "by_borough": Q.finalise_boroughs(named),
         "by_payment": Q.payment_report(partials, from_partials=True),
     }
 
@@ -53,7 +59,11 @@ def build_reports(partials: DataFrame, zones: DataFrame, k: int = 15) -> dict[st
 def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule] | None = None,
                  period: Column | None = None, k: int = 15,
                  store: PartialsStore | None = None) -> PipelineResult:
-    """Run the whole analysis; report results are bounded and collected."""
+    """Run the whole analysis; report results are bounded and collected.
+
+    The clean count is the sum of the hour report's trips (every cleaned
+    row has exactly one hour group, NULL included), so it costs no job.
+    """
     rules = strict_rules() if rules is None else rules
     raw = trips.count()
     partials = partial_aggregate(Q.clean_trips(trips, rules, period))
@@ -63,9 +73,17 @@ def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule] | None =
     else:
         partials = partials.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        clean = partials.agg({"trips": "sum"}).first()[0] or 0
-        reports = {name: df.collect() for name, df in build_reports(partials, zones, k).items()}
+        plans = build_reports(partials, zones, k)
+        reports = {name: df.collect() for name, df in plans.items()}
     finally:
         if store is None:
             partials.unpersist()
-    return PipelineResult(raw_trips=raw, clean_trips=int(clean), **reports)
+    clean = sum(r["trips"] for r in reports["by_hour"])
+    return PipelineResult(raw_trips=raw, clean_trips=int(clean),
+                          schemas={n: df.schema for n, df in plans.items()}, **reports)
+
+
+def report_frames(spark, result: PipelineResult) -> dict[str, DataFrame]:
+    """The collected (bounded) reports back as DataFrames, e.g. for sinks."""
+    return {name: spark.createDataFrame(getattr(result, name), schema)
+            for name, schema in result.schemas.items()}

@@ -50,7 +50,11 @@ def place_measures(src: DataFrame, zones: DataFrame, name_keys: list[str],
 
 def zone_report(src: DataFrame, zones: DataFrame, from_partials: bool = False) -> DataFrame:
     """All (Borough, Zone) groups, incl. the NULL group of unknown ids."""
-    m = place_measures(src, zones, [S.BOROUGH, S.ZONE], from_partials)
+    return finalise_zones(place_measures(src, zones, [S.BOROUGH, S.ZONE], from_partials))
+
+
+def finalise_zones(m: DataFrame) -> DataFrame:
+    """(Borough, Zone) measures → the zone report columns."""
     return m.select(
         S.BOROUGH, S.ZONE, "trips",
         mean("sum_fare").alias("avg_fare"),
@@ -66,7 +70,13 @@ def top_zones(src: DataFrame, zones: DataFrame, k: int = 15,
 
 
 def borough_report(src: DataFrame, zones: DataFrame, from_partials: bool = False) -> DataFrame:
-    m = place_measures(src, zones, [S.BOROUGH], from_partials)
+    return finalise_boroughs(place_measures(src, zones, [S.BOROUGH], from_partials))
+
+
+def finalise_boroughs(m: DataFrame) -> DataFrame:
+    """Measures with a Borough key (or finer, then merged) → the borough report."""
+    if set(m.columns) & {S.ZONE}:
+        m = merge(m, [S.BOROUGH])
     report = m.select(
         S.BOROUGH, "trips",
         money("sum_total").alias("total_revenue"),
