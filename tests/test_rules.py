@@ -43,7 +43,8 @@ def test_year_rule_is_a_pushed_range(spark, tmp_path):
     path = str(tmp_path / "trips")
     trap_trips(spark).write.parquet(path)
     from tripfold.sources.files import read_trips
-    plan = Q.clean_trips(read_trips(spark, path))._jdf.queryExecution().executedPlan().toString()
+    df = Q.clean_trips(read_trips(spark, path))
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01T00:00)" in plan
     assert "LessThan(tpep_pickup_datetime,2025-01-01T00:00)" in plan
 

@@ -13,36 +13,52 @@ from pyspark.sql import functions as F
 from tripfold import schema as S
 
 
+# Expression text for each derived column.  ``60.0D`` / ``0.0D`` are
+# double literals (a bare ``60.0`` is DECIMAL in Spark SQL).
+HOUR_SQL = f"hour({S.PICKUP})"
+MINUTES_SQL = f"(unix_timestamp({S.DROPOFF}) - unix_timestamp({S.PICKUP})) / 60.0D"
+TIP_PCT_SQL = f"CASE WHEN {S.FARE} > 0 THEN {S.TIP} / {S.FARE} * 100 ELSE 0.0D END"
+TIP_PCT_UNGUARDED_SQL = f"try_divide({S.TIP}, {S.FARE}) * 100"
+PERIOD_DAY_SQL = f"to_date({S.PICKUP})"
+PERIOD_MONTH_SQL = f"trunc(to_date({S.PICKUP}), 'month')"
+
+
 def hour_of_day() -> Column:
-    return F.hour(S.PICKUP)
+    return F.expr(HOUR_SQL)
 
 
 def trip_minutes() -> Column:
     """Whole-second duration in minutes; may be negative (not filtered)."""
-    return (F.unix_timestamp(S.DROPOFF) - F.unix_timestamp(S.PICKUP)) / 60.0
+    return F.expr(MINUTES_SQL)
 
 
 def tip_pct() -> Column:
     """100 * tip / fare, or 0.0 where the fare is not positive."""
-    return F.when(F.col(S.FARE) > 0, F.col(S.TIP) / F.col(S.FARE) * 100).otherwise(0.0)
+    return F.expr(TIP_PCT_SQL)
 
 
 def tip_pct_unguarded() -> Column:
     """The benchmark's form: no guard; ANSI-safe (NULL instead of an error)."""
-    return F.try_divide(F.col(S.TIP), F.col(S.FARE)) * 100
+    return F.expr(TIP_PCT_UNGUARDED_SQL)
 
 
 def period_day() -> Column:
-    return F.to_date(S.PICKUP)
+    return F.expr(PERIOD_DAY_SQL)
 
 
 def period_month() -> Column:
-    return F.trunc(F.to_date(S.PICKUP), "month")
+    return F.expr(PERIOD_MONTH_SQL)
+
 
+def derive(df: DataFrame, period: str | Column | None = PERIOD_DAY_SQL) -> DataFrame:
+    """Add hour, trip_minutes, tip_pct and (optionally) the period column.
 
-def derive(df: DataFrame, period: Column | None = None) -> DataFrame:
-    """Add hour, trip_minutes, tip_pct and (optionally) the period column."""
-    cols = {S.HOUR: hour_of_day(), S.MINUTES: trip_minutes(), S.TIP_PCT: tip_pct()}
-    if period is not None:
-        cols[S.PERIOD] = period
-    return df.withColumns(cols)
+    ``period`` is expression text (``PERIOD_DAY_SQL`` by default) or a
+    Column.
+    """
+    exprs = ["*", f"{HOUR_SQL} AS {S.HOUR}", f"{MINUTES_SQL} AS {S.MINUTES}",
+             f"{TIP_PCT_SQL} AS {S.TIP_PCT}"]
+    if isinstance(period, str):
+        return df.selectExpr(*exprs, f"{period} AS {S.PERIOD}")
+    out = df.selectExpr(*exprs)
+    return out if period is None else out.withColumn(S.PERIOD, period)

@@ -11,8 +11,6 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,34 +20,44 @@ from tripfold import schema as S
 
 @dataclass(frozen=True)
 class Rule:
+    """A named keep-condition, held as Spark SQL expression text.
+
+    Text keeps plan construction to one JVM call per rule set (the Column
+    API costs one call per operator), and the same text is what shows up
+    in ``explain`` output.
+    """
     name: str
-    predicate: Column
+    sql: str
 
-    def rejects(self) -> Column:
+    @property
+    def predicate(self) -> Column:
+        return F.expr(self.sql)
+
+    def rejects_sql(self) -> str:
         """TRUE where the row breaks the rule (NULL counts as broken)."""
-        return ~F.coalesce(self.predicate, F.lit(False))
+        return f"NOT coalesce(({self.sql}), false)"
+
+    def rejects(self) -> Column:
+        return F.expr(self.rejects_sql())
 
 
-def positive(column: str) -> Column:
-    c = F.col(column)
-    return (c > 0) & ~F.isnan(c)
+def positive(column: str) -> str:
+    return f"({column} > 0 AND NOT isnan({column}))"
 
 
-def below(column: str, bound: float) -> Column:
-    c = F.col(column)
-    return (c < F.lit(float(bound))) & ~F.isnan(c)
+def below(column: str, bound: float) -> str:
+    return f"({column} < CAST({float(bound)!r} AS DOUBLE) AND NOT isnan({column}))"
 
 
-def in_year(column: str, year: int) -> Column:
+def in_year(column: str, year: int) -> str:
     """Calendar-year test written as a half-open range.
 
     ``year(ts) = y`` is not pushed to Parquet; the range is, with both
     bounds, so row groups outside the year are skipped.
     """
-    lo = dt.datetime(year, 1, 1)
-    hi = dt.datetime(year + 1, 1, 1)
-    c = F.col(column)
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
+    lo = dt.datetime(year, 1, 1).isoformat(sep=" ")
+    hi = dt.datetime(year + 1, 1, 1).isoformat(sep=" ")
+    return (f"({column} >= TIMESTAMP_NTZ '{lo}' AND {column} < TIMESTAMP_NTZ '{hi}')")
 
 
 def strict_rules(year: int = 2024, max_distance: float = 100.0) -> list[Rule]:
@@ -59,8 +67,8 @@ def strict_rules(year: int = 2024, max_distance: float = 100.0) -> list[Rule]:
         Rule("distance_positive", positive(S.DISTANCE)),
         Rule("distance_below_max", below(S.DISTANCE, max_distance)),
         Rule("total_positive", positive(S.TOTAL)),
-        Rule("passengers_positive", F.col(S.PASSENGERS) > 0),
-        Rule("pickup_present", F.col(S.PICKUP).isNotNull()),
+        Rule("passengers_positive", f"({S.PASSENGERS} > 0)"),
+        Rule("pickup_present", f"({S.PICKUP} IS NOT NULL)"),
         Rule("pickup_in_year", in_year(S.PICKUP, year)),
     ]
 
@@ -70,12 +78,16 @@ def bench_rules() -> list[Rule]:
     return [
         Rule("fare_positive", positive(S.FARE)),
         Rule("distance_positive", positive(S.DISTANCE)),
-        Rule("passengers_positive", F.col(S.PASSENGERS) > 0),
+        Rule("passengers_positive", f"({S.PASSENGERS} > 0)"),
     ]
 
 
+def all_of_sql(rules: list[Rule]) -> str:
+    return " AND ".join(r.sql for r in rules)
+
+
 def all_of(rules: list[Rule]) -> Column:
-    return reduce(and_, [r.predicate for r in rules])
+    return F.expr(all_of_sql(rules))
 
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -85,13 +97,11 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def retention(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """raw, clean and % kept (1 dp) in a single scan."""
-    kept = F.coalesce(all_of(rules), F.lit(False))
-    agg = df.agg(F.count(F.lit(1)).alias("raw_trips"),
-                 F.count_if(kept).alias("clean_trips"))
-    return agg.select(
+    agg = df.selectExpr("count(1) AS raw_trips",
+                        f"count_if(coalesce({all_of_sql(rules)}, false)) AS clean_trips")
+    return agg.selectExpr(
         "raw_trips", "clean_trips",
-        F.round(F.try_divide(F.col("clean_trips") * F.lit(100.0), F.col("raw_trips")), 1)
-        .alias("pct_kept"))
+        "round(try_divide(clean_trips * 100.0D, raw_trips), 1) AS pct_kept")
 
 
 def reject_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -100,9 +110,7 @@ def reject_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     One global aggregate with one conditional count per rule (partial
     counts per task, one row shuffled per task), then a tiny unpivot.
     """
-    counts = df.agg(*[F.count_if(r.rejects()).alias(f"r{i}") for i, r in enumerate(rules)])
+    counts = df.selectExpr(*[f"count_if({r.rejects_sql()}) AS r{i}"
+                             for i, r in enumerate(rules)])
     stack = ", ".join(f"{i}, '{r.name}', r{i}" for i, r in enumerate(rules))
-    return counts.selectExpr(
-        f"stack({len(rules)}, {stack}) AS (rule_order, rule, rejected)").select(
-        F.col("rule_order").cast("int").alias("rule_order"), "rule",
-        F.col("rejected").cast("bigint").alias("rejected"))
+    return counts.selectExpr(f"stack({len(rules)}, {stack}) AS (rule_order, rule, rejected)")

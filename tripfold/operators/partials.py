@@ -21,16 +21,19 @@ from pyspark.sql import functions as F
 from tripfold import schema as S
 
 
+# Partial measures over cleaned, derived rows (name → aggregate text).
+ROW_MEASURES = {
+    "trips": "count(1)",
+    "sum_distance": f"sum({S.DISTANCE})",
+    "sum_fare": f"sum({S.FARE})",
+    "sum_tip_pct": f"sum({S.TIP_PCT})",
+    "n_tip_pct": f"count({S.TIP_PCT})",
+    "sum_total": f"sum({S.TOTAL})",
+}
+
+
 def _row_measures() -> list[Column]:
-    """Partial measures as aggregates over cleaned, derived rows."""
-    return [
-        F.count(F.lit(1)).alias("trips"),
-        F.sum(S.DISTANCE).alias("sum_distance"),
-        F.sum(S.FARE).alias("sum_fare"),
-        F.sum(S.TIP_PCT).alias("sum_tip_pct"),
-        F.count(S.TIP_PCT).alias("n_tip_pct"),
-        F.sum(S.TOTAL).alias("sum_total"),
-    ]
+    return [F.expr(f"{agg} AS {name}") for name, agg in ROW_MEASURES.items()]
 
 
 MEASURES = ["trips", "sum_distance", "sum_fare", "sum_tip_pct", "n_tip_pct", "sum_total"]
@@ -53,8 +56,7 @@ def partial_aggregate(clean: DataFrame, keys: Sequence[str] = PARTIAL_KEYS) -> D
 
 def merge(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Roll partials up to ``keys`` (a subset of their keys) by summing."""
-    return partials.groupBy(*keys).agg(
-        *[F.sum(m).alias(m) for m in MEASURES])
+    return partials.groupBy(*keys).agg(*[F.expr(f"sum({m}) AS {m}") for m in MEASURES])
 
 
 def measures(source: DataFrame, keys: Sequence[str], from_partials: bool) -> DataFrame:
@@ -62,10 +64,14 @@ def measures(source: DataFrame, keys: Sequence[str], from_partials: bool) -> Dat
     return merge(source, keys) if from_partials else partial_aggregate(source, keys)
 
 
+def mean_sql(sum_col: str, n_col: str = "trips", digits: int | None = 2) -> str:
+    value = f"try_divide({sum_col}, {n_col})"
+    return f"round({value}, {digits})" if digits is not None else value
+
+
 def mean(sum_col: str, n_col: str = "trips", digits: int | None = 2) -> Column:
-    value = F.try_divide(F.col(sum_col), F.col(n_col))
-    return F.round(value, digits) if digits is not None else value
+    return F.expr(mean_sql(sum_col, n_col, digits))
 
 
 def money(sum_col: str, digits: int = 2) -> Column:
-    return F.round(F.col(sum_col), digits)
+    return F.expr(f"round({sum_col}, {digits})")

@@ -57,7 +57,7 @@ def build_reports(partials: DataFrame, zones: DataFrame, k: int = 15) -> dict[st
 
 
 def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule] | None = None,
-                 period: Column | None = None, k: int = 15,
+                 period: str | Column | None = None, k: int = 15,
                  store: PartialsStore | None = None) -> PipelineResult:
     """Run the whole analysis; report results are bounded and collected.
 

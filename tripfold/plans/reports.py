@@ -23,10 +23,10 @@ from tripfold.operators.topk import sort_bounded, top_k
 
 
 def clean_trips(trips: DataFrame, rules: list[Rule] | None = None,
-                period: Column | None = None) -> DataFrame:
+                period: str | Column | None = None) -> DataFrame:
     """Rule filter (default: the strict set) + hour, trip_minutes, tip_pct, period."""
     kept = apply_rules(trips, strict_rules() if rules is None else rules)
-    return D.derive(kept, D.period_day() if period is None else period)
+    return D.derive(kept, D.PERIOD_DAY_SQL if period is None else period)
 
 
 # ---------------------------------------------------------------- by hour

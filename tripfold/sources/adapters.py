@@ -9,7 +9,6 @@ them is still column-pruned and filter-pushed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripfold import schema as S
 
@@ -44,12 +43,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
-def _code_map(column: str, codes: dict[str, int]) -> F.Column:
-    expr = None
-    for key, code in codes.items():
-        cond = F.col(column) == F.lit(key)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr.cast("bigint")
+def _code_map_sql(column: str, codes: dict[str, int]) -> str:
+    whens = " ".join(f"WHEN '{key}' THEN {code}" for key, code in codes.items())
+    return f"CAST(CASE {column} {whens} END AS BIGINT)"
 
 
 def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,22 +55,18 @@ def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id % 120; passengers = event_id % 7; place = user_id % 30;
     fare = value; tip = (event_id * 7 % 31) quarter-dollars; total = fare + tip.
     """
-    e = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    fare = F.col("value")
-    tip = (eid * 7 % 31).cast("double") * F.lit(0.25)
-    return e.select(
-        eid.alias(EVENTS_TRIP_ID),
-        F.col("ts").alias(S.PICKUP),
-        (F.col("ts") + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0),
-                                       (eid % 90).cast("int"), F.lit(0))).alias(S.DROPOFF),
-        (eid % 7).cast("bigint").alias(S.PASSENGERS),
-        (eid % 120).cast("double").alias(S.DISTANCE),
-        (F.col("user_id") % 30).cast("int").alias(S.LOCATION),
-        _code_map("event_type", EVENT_PAYMENT_CODES).alias(S.PAYMENT),
-        fare.alias(S.FARE),
-        tip.alias(S.TIP),
-        (fare + tip).alias(S.TOTAL),
+    tip = "CAST(event_id * 7 % 31 AS DOUBLE) * 0.25D"
+    return table(spark, sf_dir, "events").selectExpr(
+        f"event_id AS {EVENTS_TRIP_ID}",
+        f"ts AS {S.PICKUP}",
+        f"ts + make_interval(0, 0, 0, 0, 0, CAST(event_id % 90 AS INT), 0) AS {S.DROPOFF}",
+        f"CAST(event_id % 7 AS BIGINT) AS {S.PASSENGERS}",
+        f"CAST(event_id % 120 AS DOUBLE) AS {S.DISTANCE}",
+        f"CAST(user_id % 30 AS INT) AS {S.LOCATION}",
+        f"{_code_map_sql('event_type', EVENT_PAYMENT_CODES)} AS {S.PAYMENT}",
+        f"value AS {S.FARE}",
+        f"{tip} AS {S.TIP}",
+        f"value + {tip} AS {S.TOTAL}",
     )
 
 
@@ -87,9 +79,8 @@ def zones_from_nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
-            .select(F.col("n_nationkey").cast("int").alias(S.LOCATION),
-                    F.col("r_name").alias(S.BOROUGH),
-                    F.col("n_name").alias(S.ZONE)))
+            .selectExpr(f"n_nationkey AS {S.LOCATION}", f"r_name AS {S.BOROUGH}",
+                        f"n_name AS {S.ZONE}"))
 
 
 def trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,19 +91,17 @@ def trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     the return flag; fare = l_extendedprice; tip = fare * l_tax; total =
     fare * (1 - l_discount) * (1 + l_tax).
     """
-    li = table(spark, sf_dir, "lineitem")
-    fare = F.col("l_extendedprice")
-    return li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(LINEITEM_TRIP_ID),
-        F.col("l_shipdate").cast("timestamp_ntz").alias(S.PICKUP),
-        F.col("l_shipdate").cast("timestamp_ntz").alias(S.DROPOFF),
-        F.col("l_linenumber").cast("bigint").alias(S.PASSENGERS),
-        F.col("l_quantity").alias(S.DISTANCE),
-        F.col("l_suppkey").cast("int").alias(S.LOCATION),
-        _code_map("l_returnflag", RETURNFLAG_PAYMENT_CODES).alias(S.PAYMENT),
-        fare.alias(S.FARE),
-        (fare * F.col("l_tax")).alias(S.TIP),
-        (fare * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias(S.TOTAL),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"l_orderkey * 8 + l_linenumber AS {LINEITEM_TRIP_ID}",
+        f"l_shipdate AS {S.PICKUP}",
+        f"l_shipdate AS {S.DROPOFF}",
+        f"CAST(l_linenumber AS BIGINT) AS {S.PASSENGERS}",
+        f"l_quantity AS {S.DISTANCE}",
+        f"CAST(l_suppkey AS INT) AS {S.LOCATION}",
+        f"{_code_map_sql('l_returnflag', RETURNFLAG_PAYMENT_CODES)} AS {S.PAYMENT}",
+        f"l_extendedprice AS {S.FARE}",
+        f"l_extendedprice * l_tax AS {S.TIP}",
+        f"l_extendedprice * (1 - l_discount) * (1 + l_tax) AS {S.TOTAL}",
     )
 
 
@@ -129,6 +118,5 @@ def zones_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     nr = n.join(r, n.n_regionkey == r.r_regionkey, "inner")
     return (s.join(nr, s.s_nationkey == nr.n_nationkey, "inner")
-            .select(F.col("s_suppkey").cast("int").alias(S.LOCATION),
-                    F.col("r_name").alias(S.BOROUGH),
-                    F.col("n_name").alias(S.ZONE)))
+            .selectExpr(f"CAST(s_suppkey AS INT) AS {S.LOCATION}", f"r_name AS {S.BOROUGH}",
+                        f"n_name AS {S.ZONE}"))
