@@ -68,7 +68,8 @@ def day_slices(trips: DataFrame, bounds: Sequence[str]) -> list[DataFrame]:
     """Split by pickup date at ``bounds`` into disjoint half-open slices.
 
     Each slice carries its own range predicate on the pickup column, which
-    reaches the Parquet scan, so the slices together read the data once.
+    reaches the Parquet scan: when the files are stored by period (or
+    sorted by pickup) each slice reads only its own files and row groups.
     Rows without a pickup time go to the first slice, so the slices' union
     is the whole input.
     """
