@@ -32,11 +32,8 @@ def test_duration_and_hour_ignore_session_time_zone(spark):
 
 
 def test_tip_pct_guard_and_unguarded_form(spark):
-    from pyspark.sql import functions as F
-
     from tripfold.functions import derive as D
     df = spark.createDataFrame([(0.0, 1.0), (4.0, 1.0)], f"{S.FARE} double, {S.TIP} double")
     out = df.select(D.tip_pct().alias("g"), D.tip_pct_unguarded().alias("u")).collect()
     assert (out[0].g, out[0].u) == (0.0, None)  # no ANSI divide-by-zero error
     assert (out[1].g, out[1].u) == (25.0, 25.0)
-    assert F is not None
