@@ -45,9 +45,15 @@ class PipelineResult:
         return round(100.0 * self.clean_trips / self.raw_trips, 1) if self.raw_trips else None
 
 
-def build_reports(partials: DataFrame, zones: DataFrame, k: int = 15) -> dict[str, DataFrame]:
-    """The four reports as plans over (persisted or stored) partials."""
-    named = Q.place_measures(partials, zones, [S.BOROUGH, S.ZONE], from_partials=True)
+def build_reports(partials: DataFrame, zones: DataFrame, k: int = 15,
+                  named: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four reports as plans over (persisted or stored) partials.
+
+    ``named`` – measures by (Borough, Zone) – may be passed in persisted, so
+    the zone and borough reports share one join.
+    """
+    if named is None:
+        named = Q.place_measures(partials, zones, [S.BOROUGH, S.ZONE], from_partials=True)
     return {
         "by_hour": Q.hour_report(partials, from_partials=True),
         "top_zones": top_k(Q.finalise_zones(named), k, desc=["trips"], asc=[S.BOROUGH, S.ZONE]),
@@ -72,10 +78,13 @@ def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule] | None =
         partials = store.read()
     else:
         partials = partials.persist(StorageLevel.MEMORY_AND_DISK)
+    # (Borough, Zone) measures: bounded by the number of named places
+    named = Q.place_measures(partials, zones, [S.BOROUGH, S.ZONE], from_partials=True).persist()
     try:
-        plans = build_reports(partials, zones, k)
+        plans = build_reports(partials, zones, k, named=named)
         reports = {name: df.collect() for name, df in plans.items()}
     finally:
+        named.unpersist()
         if store is None:
             partials.unpersist()
     clean = sum(r["trips"] for r in reports["by_hour"])
