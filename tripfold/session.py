@@ -20,9 +20,8 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Shuffles here carry partial aggregates (bounded by key domain × map
-    # tasks) except a row-level join to an over-bound dimension; a wide
-    # initial width keeps those partitions small and AQE coalesces the rest.
-    "spark.sql.shuffle.partitions": "2048",
+    # tasks), except a row-level join to an over-bound dimension; the shuffle
+    # width is the cluster's setting (AQE coalesces it to ~128 MB reads).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Trip scans are pruned to a handful of columns, so 256 MB splits keep
     # the task count sane at 100 TB without making tasks heavy.
@@ -48,8 +47,13 @@ def build_session(app_name: str = "tripfold", master: str | None = None,
     for key, value in {**STATIC_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    configured = spark.sparkContext.getConf()
-    for key, value in CLUSTER_DEFAULTS.items():
+    sc = spark.sparkContext
+    configured = sc.getConf()
+    defaults = dict(CLUSTER_DEFAULTS)
+    if sc.master.startswith("local"):
+        # one JVM: as many shuffle partitions as cores
+        defaults["spark.sql.shuffle.partitions"] = str(sc.defaultParallelism)
+    for key, value in defaults.items():
         if key not in (conf or {}) and not configured.contains(key):
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
