@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import decontaminate
+from tripfold.llm import decontaminate, quality_rules
 from tripfold.llm.shared import table
 
 
+def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(quality_rules.judged(table(spark, sf_dir, "documents")))
+
+
 def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, bench, ["doc_id"]))
 
 
 LLM_QUERIES = {
+    "op4_host_quality_rules": op4_host_quality_rules,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
 }
 
 LLM_SQL = {
+    "op4_host_quality_rules": quality_rules.SQL,
     "op9_winnowing_decontamination": decontaminate.SQL,
 }
