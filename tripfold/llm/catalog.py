@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import decontaminate, quality_rules
+from tripfold.llm import decontaminate, packing, quality_rules
 from tripfold.llm.shared import table
 
 
@@ -17,7 +17,12 @@ def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.digest(decontaminate.contamination(docs, bench, ["doc_id"]))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.packed(packing.tokenized(table(spark, sf_dir, "documents"), ["doc_id"])))
+
+
 LLM_QUERIES = {
+    "op10_best_fit_packing": op10_best_fit_packing,
     "op4_host_quality_rules": op4_host_quality_rules,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
 }
