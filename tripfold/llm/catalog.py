@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import decontaminate, packing, quality_rules
+from tripfold.llm import decontaminate, packing, quality_rules, warc
 from tripfold.llm.shared import table
 
 
@@ -12,6 +12,10 @@ def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.judged(table(spark, sf_dir, "documents")))
 
 
+def op5_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, bench, ["doc_id"]))
@@ -22,12 +26,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op5_content_addressed_warc": op5_content_addressed_warc,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op4_host_quality_rules": op4_host_quality_rules,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
 }
 
 LLM_SQL = {
+    "op5_content_addressed_warc": warc.SQL,
     "op4_host_quality_rules": quality_rules.SQL,
     "op9_winnowing_decontamination": decontaminate.SQL,
 }

@@ -83,15 +83,14 @@ def failures(stats: DataFrame) -> DataFrame:
 def host_verdicts(failed: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """host, n_docs, for each rule its shrunk failure rate, and ``host_ok``."""
     hosts = failed.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES])
-    # beta prior by moments: mean m and variance v of the hosts' rates; strength = m (1 - m) / v - 1, between 1 and 1e6
-    moments = hosts.agg(*[f(F.col(r) / F.col("n_docs")).alias(f"{r}_{n}") for r in RULES for n, f in (("m", F.avg), ("v", F.var_pop))])
-    shrunk = hosts.join(F.broadcast(moments))  # one row
+    # beta prior by moments: mean m and variance v of the hosts' rates (two numbers a rule); strength = m (1 - m) / v - 1, between 1 and 1e6
+    moments = hosts.agg(*[f(F.col(r) / F.col("n_docs")).alias(f"{r}_{n}") for r in RULES for n, f in (("m", F.avg), ("v", F.var_pop))]).first()
     rates = {}
     for r in RULES:
-        m, v = F.col(f"{r}_m"), F.col(f"{r}_v")
-        strength = F.when(v > 0, F.greatest(F.lit(1.0), F.least(F.lit(1e6), m * (1 - m) / v - 1))).otherwise(F.lit(1e6))
-        rates[f"{r}_rate"] = (F.col(r) + strength * m) / (F.col("n_docs") + strength)
-    out = shrunk.select("host", "n_docs", *[c.alias(n) for n, c in rates.items()])
+        m, v = moments[f"{r}_m"] or 0.0, moments[f"{r}_v"] or 0.0
+        strength = max(1.0, min(1e6, m * (1 - m) / v - 1)) if v > 0 else 1e6
+        rates[f"{r}_rate"] = (F.col(r) + F.lit(strength * m)) / (F.col("n_docs") + F.lit(strength))
+    out = hosts.select("host", "n_docs", *[c.alias(n) for n, c in rates.items()])
     return out.withColumn("host_ok", F.greatest(*[F.col(n) for n in rates]) <= max_rate)
 
 
