@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import decontaminate, packing, quality_rules, warc
+from tripfold.llm import decontaminate, extract, packing, quality_rules, warc
 from tripfold.llm.shared import table
 
 
@@ -16,6 +16,10 @@ def op5_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.digest(extract.extracted(table(spark, sf_dir, "pages"), ["page_id", "url"]))
+
+
 def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, bench, ["doc_id"]))
@@ -26,6 +30,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op7_line_block_extraction": op7_line_block_extraction,
     "op5_content_addressed_warc": op5_content_addressed_warc,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op4_host_quality_rules": op4_host_quality_rules,

@@ -168,8 +168,8 @@ SQL = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS key, sha1(coalesce(html, '')) AS hex FROM pages),
 r AS (SELECT key, max(page_id) AS response_id FROM p GROUP BY key),
 parts AS (SELECT hex, i, CAST('0x' || substr(hex, 5 * i + 1, 5) AS INTEGER) AS v FROM (SELECT DISTINCT hex FROM p), range(8) AS x(i)),
-chars AS (SELECT hex, 4 * i + j AS at, substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> (15 - 5 * j)) & 31) + 1, 1) AS c FROM parts, range(4) AS y(j)),
-b32 AS (SELECT hex, string_agg(c, '' ORDER BY at) AS payload_digest FROM chars GROUP BY hex)
+chars AS (SELECT hex, 4 * i + j AS place, substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> (15 - 5 * j)) & 31) + 1, 1) AS c FROM parts, range(4) AS y(j)),
+b32 AS (SELECT hex, string_agg(c, '' ORDER BY place) AS payload_digest FROM chars GROUP BY hex)
 SELECT page_id, size::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to
