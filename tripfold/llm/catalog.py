@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import decontaminate, extract, packing, quality_rules, warc
+from tripfold.llm import decontaminate, extract, packing, quality_rules, url_filter, warc
 from tripfold.llm.shared import table
 
 
+def op1_host_word_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.judged(table(spark, sf_dir, "documents")))
 
@@ -30,6 +34,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_host_word_url_filter": op1_host_word_url_filter,
     "op7_line_block_extraction": op7_line_block_extraction,
     "op5_content_addressed_warc": op5_content_addressed_warc,
     "op10_best_fit_packing": op10_best_fit_packing,
