@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import decontaminate, extract, packing, quality_rules, url_filter, warc
+from tripfold.llm import classifier, decontaminate, extract, packing, quality_rules, url_filter, warc
 from tripfold.llm.shared import table
 
 
@@ -24,6 +24,12 @@ def op7_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.digest(extract.extracted(table(spark, sf_dir, "pages"), ["page_id", "url"]))
 
 
+def op8_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.trained(docs, table(spark, sf_dir, "labels"))
+    return classifier.digest(classifier.scored(docs, model, ["doc_id"]))
+
+
 def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, bench, ["doc_id"]))
@@ -34,6 +40,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op8_rule_ensemble_quality": op8_rule_ensemble_quality,
     "op1_host_word_url_filter": op1_host_word_url_filter,
     "op7_line_block_extraction": op7_line_block_extraction,
     "op5_content_addressed_warc": op5_content_addressed_warc,
