@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import classifier, decontaminate, extract, packing, quality_rules, url_filter, warc
+from tripfold.llm import classifier, decontaminate, extract, packing, parity_join, quality_rules, url_filter, warc
 from tripfold.llm.shared import table
 
 
@@ -12,6 +12,10 @@ def op1_host_word_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
 
+def op2_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.digest(parity_join.Join(table(spark, sf_dir, "documents")).classes())
+
+
 def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.judged(table(spark, sf_dir, "documents")))
 
@@ -40,6 +44,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_parity_sketch_join": op2_parity_sketch_join,
     "op8_rule_ensemble_quality": op8_rule_ensemble_quality,
     "op1_host_word_url_filter": op1_host_word_url_filter,
     "op7_line_block_extraction": op7_line_block_extraction,
@@ -50,6 +55,7 @@ LLM_QUERIES = {
 }
 
 LLM_SQL = {
+    "op2_parity_sketch_join": parity_join.SQL,
     "op5_content_addressed_warc": warc.SQL,
     "op4_host_quality_rules": quality_rules.SQL,
     "op9_winnowing_decontamination": decontaminate.SQL,
