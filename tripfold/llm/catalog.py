@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import classifier, decontaminate, extract, packing, parity_join, quality_rules, url_filter, warc
+from tripfold.llm import classifier, decontaminate, extract, line_dedup, packing, parity_join, quality_rules, url_filter, warc
 from tripfold.llm.shared import table
 
 
@@ -24,6 +24,10 @@ def op5_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_line_winnowing_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.deduplicated(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def op7_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.digest(extract.extracted(table(spark, sf_dir, "pages"), ["page_id", "url"]))
 
@@ -44,6 +48,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op6_line_winnowing_dedup": op6_line_winnowing_dedup,
     "op2_parity_sketch_join": op2_parity_sketch_join,
     "op8_rule_ensemble_quality": op8_rule_ensemble_quality,
     "op1_host_word_url_filter": op1_host_word_url_filter,
