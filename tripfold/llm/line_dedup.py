@@ -1,23 +1,24 @@
 """Repeated lines by winnowing over line hashes (operator 6).
 
 Units are lines; a line is cut further at sentence ends and before capitals,
-since a passage may stand inside a line. A unit's hash is that of its words
-(A-Z lower-cased, white space ignored). From every unit on, the shortest run of
-units with ``WORDS`` words is a window; the smallest hash of each window is a
-fingerprint. Texts that share a run of ``WORDS`` words in whole units share that
-run's first window, and so a fingerprint.
-
-Fingerprints carry the hashes around them, ``WORDS`` words to either side: a
-maximal shared run has a fingerprint within a window of each end, so this is
-enough to extend every match to the ends of its run. The first place of a
-fingerprint (smallest id, then position) is found by a partial aggregate; all
-other places are joined to it, extended both ways, and runs of ``WORDS`` words
-or more are deleted. A unit is only deleted if an equal one stands earlier, so
-one copy always stays.
+since a passage may stand inside a line. From every unit on, the shortest run of
+units with ``GRAM`` words is a gram, hashed by its words (A-Z lower-cased,
+white space ignored). Of the grams inside the shortest run of units with
+``REACH`` words, the smallest hash is a fingerprint: two texts that share
+``REACH`` words in whole units share the grams of that run, and so a
+fingerprint.
+
+The first place of a fingerprint (smallest id, then position) is found by a
+partial aggregate. All other places are joined to it and extended both ways
+over the unit hashes that every fingerprint carries (``REACH`` words to either
+side; a run has a fingerprint nearer than that to each end), and the runs are
+deleted. A unit is only deleted if an equal one stands earlier, so one copy
+always stays. Where a run's fingerprints have their first places in different
+texts, a run's ends may stay, less than ``REACH`` words on either side.
 
 Defined cases: null or empty text stays as it is. Rows with the same id and
 text are the same document and are treated alike; rows with the same id and
-other texts are ordered by a hash of the text. A null id comes last. Runs that
+other texts are ordered by a hash of the text. A null id comes first. Runs that
 repeat inside a text are deleted, too. A line that loses all its units goes
 with its line break; otherwise line breaks stay. An empty table gives an empty
 result. Other columns are carried in ``doc``.
@@ -36,22 +37,26 @@ from pyspark.sql import types as T
 from tripfold.llm import arrays as A
 from tripfold.llm.shared import prepare, stored
 
-WORDS = 20
+GRAM = 20
+REACH = 30
 #: Documents with deletions are broadcast up to this many rows and ranges (some 100 MB at most), else joined by shuffle.
 MOST_ROWS = 500_000
 _FOLD = A.whitespace_words()
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 U = A.U
 
 
 class Units:
-    """Units of a slice of texts: row, first byte, hash, words before (running), bounds by row."""
+    """Units of a slice of texts: first byte, hash, words, words before (running), bounds by row, and gram hashes."""
 
     def __init__(self, part: A.Texts) -> None:
         data, w = part.data, A.words(part, _FOLD)
         n = len(w.start)
         self.bounds = np.zeros(len(part.offsets), np.int64)
-        self.start = self.hash = self.words = np.zeros(0, np.int64)
+        self.start = self.words = np.zeros(0, np.int64)
         self.total = np.zeros(1, np.int64)
+        self._first, self._run = np.zeros(1, np.int64), np.zeros(1, np.uint64)
         if not n:
             return
         new = np.zeros(n, bool)
@@ -64,83 +69,77 @@ class Units:
         second = data[np.minimum(w.start + 1, len(data) - 1)]
         new |= ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
         at = np.flatnonzero(new)
-        # hash of a unit: running sum of word hashes times odd powers, shifted to the unit's first word
-        up, down = A.powers(0x9E3779B97F4A7C15, n + 1), A.powers(pow(0x9E3779B97F4A7C15, -1, 1 << 64), n + 1)
-        run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(w.hash * up[:n])))
-        stop = np.append(at[1:], n)
-        self.words = stop - at
-        self.hash = A.mix((run[stop] - run[at]) * down[at] + self.words.astype(np.uint64))
+        self._first = np.append(at, n)
+        # running sums of word hashes times odd powers: any run of words has its hash by a difference, shifted to its first word
+        self._run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(w.hash * A.powers(_BASE, n))))
+        self.words = np.diff(self._first)
         self.start = w.start[at]
         self.bounds = np.searchsorted(at, w.bounds)
         self.total = np.concatenate(([0], np.cumsum(self.words)))
 
-
-def fingerprints(hashes: np.ndarray, total: np.ndarray, words: int = WORDS) -> np.ndarray:
-    """Positions of window minima of one text; ``total``: words before each unit, and in all."""
-    stop = np.searchsorted(total, total[:-1] + words)  # windows [i, stop)
-    whole = np.flatnonzero(stop <= len(hashes))
-    if not len(whole):
-        return whole
-    out = np.zeros(len(whole), np.int64)
-    queue: list[int] = []  # positions of rising hashes: the window's minimum is in front
-    front = to = 0
-    values = hashes.tolist()
-    for n, i in enumerate(whole.tolist()):
-        end = int(stop[i])
-        while to < end:
-            while len(queue) > front and values[queue[-1]] > values[to]:
-                queue.pop()
-            queue.append(to)
-            to += 1
-        while queue[front] < i:
-            front += 1
-        out[n] = queue[front]
-    return np.unique(out)
-
-
-def _fingerprint_rows(words: int):
+    def hash(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Hashes of the words of units [start, stop)."""
+        a, b = self._first[start], self._first[stop]
+        return A.mix((self._run[b] - self._run[a]) * A.powers(_INVERSE, len(self._run))[a] + (b - a).astype(np.uint64))
+
+
+def fingerprints(units: Units, gram: int = GRAM, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last unit (exclusive) and hash of the chosen grams, and the row's bounds of each gram as (2, n)."""
+    n = len(units.words)
+    row = np.searchsorted(units.bounds, np.arange(n), side="right") - 1
+    end = units.bounds[row + 1] if n else np.zeros(0, np.int64)
+    stop = np.searchsorted(units.total, units.total[:-1] + gram)
+    whole = stop <= end
+    value = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    at = np.flatnonzero(whole)
+    value[at] = units.hash(at, stop[at])
+    far = np.searchsorted(units.total, units.total[:-1] + reach)
+    window = np.flatnonzero(far <= end)
+    count = np.searchsorted(stop, far[window], side="right") - window
+    best, least = window.copy(), value[window]
+    for d in range(1, int(count.max(initial=0))):
+        more = np.flatnonzero(count > d)
+        other = value[window[more] + d]
+        lower = other < least[more]
+        best[more[lower]], least[more[lower]] = window[more[lower]] + d, other[lower]
+    best = np.unique(best)
+    return best, stop[best], value[best], np.stack((units.bounds[row[best]], end[best])) if n else np.zeros((2, 0), np.int64)
+
+
+def _lists(start: np.ndarray, size: np.ndarray, step: int, values: np.ndarray) -> pa.Array:
+    """Lists of ``values`` at start, start + step, ...; ``size`` of them."""
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[np.repeat(start, size) + step * nth], pa.int64()))
+
+
+def _fingerprint_rows(gram: int, reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in A.slices(batch.column("text")):
                 units = Units(part)
-                rows, places, left, right, left_n, right_n = [], [], [], [], [0], [0]
-                signed = units.hash.view(np.int64)
-                for row in range(len(part.offsets) - 1):
-                    lo, hi = int(units.bounds[row]), int(units.bounds[row + 1])
-                    if hi == lo:
-                        continue
-                    total = units.total[lo : hi + 1] - units.total[lo]
-                    found = fingerprints(units.hash[lo:hi], total, words)
-                    if not len(found):
-                        continue
-                    low = np.maximum(0, np.searchsorted(total, total[found] - words, side="right") - 1)
-                    high = np.minimum(hi - lo, np.searchsorted(total, total[found + 1] + words))
-                    own = signed[lo:hi]
-                    for p, a, b in zip(found.tolist(), low.tolist(), high.tolist(), strict=True):
-                        rows.append(part.first + row)
-                        places.append(p)
-                        left.append(own[a:p][::-1])
-                        right.append(own[p + 1 : b])
-                        left_n.append(left_n[-1] + p - a)
-                        right_n.append(right_n[-1] + max(0, b - p - 1))
-                if not rows:
+                first, stop, value, (low, high) = fingerprints(units, gram, reach)
+                if not len(first):
                     continue
-                at = pa.array(rows, pa.int64())
-                base = units.bounds[np.array(rows) - part.first] + np.array(places)
-                lists = [pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.array(np.concatenate(x), pa.int64())) for n, x in ((left_n, left), (right_n, right))]
-                yield pa.RecordBatch.from_arrays([pa.array(signed[base], pa.int64()), batch.column("none").take(at), batch.column("id").take(at), batch.column("code").take(at),
-                                                  pa.array(places, pa.int32()), *lists], names=["hash", "none", "id", "code", "pos", "left", "right"])
+                every = np.arange(len(units.words))
+                own = units.hash(every, every + 1).view(np.int64)
+                row = np.searchsorted(units.bounds, first, side="right") - 1
+                left = np.maximum(low, np.searchsorted(units.total, units.total[first] - reach, side="right") - 1)
+                right = np.minimum(high, np.searchsorted(units.total, units.total[stop] + reach))
+                at = pa.array(part.first + row, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(value.view(np.int64), pa.int64()), batch.column("id").take(at), batch.column("code").take(at), pa.array(first - low, pa.int32()), pa.array(stop - low, pa.int32()),
+                     _lists(first - 1, first - left, -1, own), _lists(stop, right - stop, 1, own)], names=["hash", "id", "code", "pos", "stop", "left", "right"])
     return run
 
 
-def without(text: str, ranges: list[tuple[int, int]], words: int = WORDS) -> tuple[str, int, int]:
-    """``text`` without the unit ranges that have ``words`` words or more; units and words deleted."""
+def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
+    """``text`` without the unit ranges; units and words deleted."""
     part = next(A.slices(pa.array([text])))
     units = Units(part)
     gone = np.zeros(len(units.words), bool)
     for a, b in ranges:
-        if units.total[b] - units.total[a] >= words:
-            gone[a:b] = True
+        gone[a:b] = True
     if not gone.any():
         return text, 0, 0
     data = part.data.tobytes()
@@ -161,49 +160,49 @@ def without(text: str, ranges: list[tuple[int, int]], words: int = WORDS) -> tup
     return out.decode(), int(gone.sum()), int(units.words[gone].sum())
 
 
-def _apply(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, units, gone = [], [], []
-            for value, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
-                text = value.as_py()
-                found = ranges.as_py() if text else None
-                text, n, m = without(text, [(r["start"], r["stop"]) for r in found], words) if found else (text, 0, 0)
-                texts.append(text)
-                units.append(n)
-                gone.append(m)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string()), pa.array(units, pa.int64()), pa.array(gone, pa.int64())],
-                                             names=["doc", "text", "units_deleted", "words_deleted"])
-    return run
+def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, units, gone = [], [], []
+        for value, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
+            text = value.as_py()
+            found = ranges.as_py() if text else None
+            text, n, m = without(text, [(r["start"], r["stop"]) for r in found]) if found else (text, 0, 0)
+            texts.append(text)
+            units.append(n)
+            gone.append(m)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string()), pa.array(units, pa.int64()), pa.array(gone, pa.int64())],
+                                         names=["doc", "text", "units_deleted", "words_deleted"])
 
 
-def repeated_ranges(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """none, id, code, ranges (unit ranges of repeated runs) for documents that have any. ``docs``: none, id, code, text."""
+def repeated_ranges(docs: DataFrame, gram: int = GRAM, reach: int = REACH) -> DataFrame:
+    """id, code, ranges (unit ranges of repeated runs) for documents that have any. ``docs``: id, code, text."""
     prepare(docs.sparkSession)
     kind = docs.schema["id"].dataType.simpleString()
-    prints = docs.mapInArrow(_fingerprint_rows(words), f"hash long, none boolean, id {kind}, code long, pos int, left array<long>, right array<long>")
-    place = F.struct("none", "id", "code", "pos", "left", "right")
-    first = prints.groupBy("hash").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "f")
-    found = prints.join(first, "hash").where("NOT (none <=> f.none AND id <=> f.id AND code <=> f.code AND pos <=> f.pos)")
-    alike = lambda side: (  # noqa: E731  units that agree from the fingerprint outwards
+    prints = docs.mapInArrow(_fingerprint_rows(gram, reach), f"hash long, id {kind}, code long, pos int, stop int, left array<long>, right array<long>")
+    places = prints.select("hash", F.struct("id", "code", "pos").alias("place"))
+    first = places.groupBy("hash").agg(F.min("place").alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "f")
+    shared = stored(prints.join(first, "hash").withColumn("is_first", F.expr("id <=> f.id AND code <=> f.code AND pos <=> f.pos")).drop("f"), "shared")
+    firsts = shared.where("is_first").dropDuplicates(["hash"]).select("hash", F.struct("left", "right").alias("f"))
+    found = shared.where("NOT is_first").join(firsts, "hash")
+    alike = lambda side: (  # noqa: E731  units that agree from the gram outwards
         f"(CASE array_position(zip_with({side}, f.{side}, (x, y) -> x <=> y AND x IS NOT NULL), false) WHEN 0 THEN size({side}) ELSE "
         f"array_position(zip_with({side}, f.{side}, (x, y) -> x <=> y AND x IS NOT NULL), false) - 1 END)")
-    spans = found.select("none", "id", "code", F.expr(f"CAST(pos - {alike('left')} AS INT)").alias("start"), F.expr(f"CAST(pos + 1 + {alike('right')} AS INT)").alias("stop"))
-    return spans.groupBy("none", "id", "code").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))  # at most a text's fingerprints
+    spans = found.select("id", "code", F.expr(f"CAST(pos - {alike('left')} AS INT)").alias("start"), F.expr(f"CAST(stop + {alike('right')} AS INT)").alias("stop"))
+    return spans.groupBy("id", "code").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))  # at most a text's fingerprints
 
 
-def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, reach: int = REACH) -> DataFrame:
     """doc (struct of the columns ``keep``), text without later repeated runs, units_deleted, words_deleted."""
-    key = [F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(text).alias("code")]
-    ranges = stored(repeated_ranges(docs.select(*key, F.col(text).alias("text")), words), "ranges")
+    key = [F.col(doc_id).alias("id"), F.xxhash64(text).alias("code")]
+    ranges = stored(repeated_ranges(docs.select(*key, F.col(text).alias("text")), gram, reach), "ranges")
     size = ranges.agg(F.count(F.lit(1)), F.sum(F.size("ranges"))).first()
-    side = ranges.select("none", F.col("id").alias("_id"), F.col("code").alias("_code"), "ranges")
+    side = ranges.select(F.col("id").alias("_id"), F.col("code").alias("_code"), "ranges")
     if size[0] + (size[1] or 0) <= MOST_ROWS:
         side = F.broadcast(side)
-    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.col(text).alias("text"), *key[1:])
+    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.col(text).alias("text"), *key)
     joined = rows.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("code") == F.col("_code")), "left").select("doc", "text", "ranges")
     fields = T.StructType([joined.schema["doc"], T.StructField("text", T.StringType()), T.StructField("units_deleted", T.LongType()), T.StructField("words_deleted", T.LongType())])
-    return joined.mapInArrow(_apply(words), fields)
+    return joined.mapInArrow(_apply, fields)
 
 
 def digest(found: DataFrame) -> DataFrame:
