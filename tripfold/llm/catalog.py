@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripfold.llm import classifier, decontaminate, extract, line_dedup, packing, parity_join, quality_rules, url_filter, warc
+from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, quality_rules, url_filter, warc
 from tripfold.llm.shared import table
 
 
@@ -16,6 +17,13 @@ def op2_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.digest(parity_join.Join(table(spark, sf_dir, "documents")).classes())
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # the table has no paths: a document is taken as a file below its source and language
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licences.digest(licences.scanned(docs, ["doc_id"], path))
+
+
 def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.judged(table(spark, sf_dir, "documents")))
 
@@ -48,6 +56,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op3_licence_scan": op3_licence_scan,
     "op6_line_winnowing_dedup": op6_line_winnowing_dedup,
     "op2_parity_sketch_join": op2_parity_sketch_join,
     "op8_rule_ensemble_quality": op8_rule_ensemble_quality,
