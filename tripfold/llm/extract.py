@@ -61,6 +61,7 @@ CLOSES_P = BLOCKS - {"br", "body", "html", "title", "option", "caption", "tbody"
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
+_LETTERS = re.compile("[A-Za-z]+")
 _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
@@ -84,7 +85,7 @@ def dropped(tag: str, attributes: str) -> bool:
             return True
         if name in ("class", "id"):
             for word in value.split():
-                named = {w.lower() for w in _PART.findall(word)}
+                named = {w.lower() for w in _PART.findall(word) + _LETTERS.findall(word)}
                 if named & NAMES and not named & LAYOUT:
                     return True
     return False
