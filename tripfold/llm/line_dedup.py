@@ -39,8 +39,6 @@ from tripfold.llm.shared import prepare, stored
 
 GRAM = 20
 REACH = 30
-#: Documents with deletions are broadcast up to this many rows and ranges (some 100 MB at most), else joined by shuffle.
-MOST_ROWS = 500_000
 _FOLD = A.whitespace_words()
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -195,10 +193,7 @@ def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
     """doc (struct of the columns ``keep``), text without later repeated runs, units_deleted, words_deleted."""
     key = [F.col(doc_id).alias("id"), F.xxhash64(text).alias("code")]
     ranges = stored(repeated_ranges(docs.select(*key, F.col(text).alias("text")), gram, reach), "ranges")
-    size = ranges.agg(F.count(F.lit(1)), F.sum(F.size("ranges"))).first()
     side = ranges.select(F.col("id").alias("_id"), F.col("code").alias("_code"), "ranges")
-    if size[0] + (size[1] or 0) <= MOST_ROWS:
-        side = F.broadcast(side)
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.col(text).alias("text"), *key)
     joined = rows.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("code") == F.col("_code")), "left").select("doc", "text", "ranges")
     fields = T.StructType([joined.schema["doc"], T.StructField("text", T.StringType()), T.StructField("units_deleted", T.LongType()), T.StructField("words_deleted", T.LongType())])
