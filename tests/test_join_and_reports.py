@@ -4,6 +4,7 @@ from fixtures import trap_trips, zones
 from tripfold import schema as S
 from tripfold.operators.join import DimensionKeyError, left_join_dimension
 from tripfold.plans import presentation as P
+from tripfold.functions import rules as R
 from tripfold.plans import reports as Q
 from tripfold.sources.files import read_zones_csv
 
@@ -13,7 +14,7 @@ def plan_of(df):
 
 
 def test_left_join_keeps_unmatched_and_null_ids(spark):
-    clean = Q.clean_trips(trap_trips(spark))
+    clean = Q.clean_trips(trap_trips(spark), R.strict_rules(2024))
     out = Q.enriched_trips(clean, zones(spark))
     assert out.count() == clean.count()  # N:1 join never changes the row count
     rows = {r.case_name: r for r in out.collect()}
@@ -25,20 +26,43 @@ def test_left_join_keeps_unmatched_and_null_ids(spark):
 def test_duplicate_dimension_key_fails_loudly(spark):
     dup = spark.createDataFrame([(1, "A", "x"), (1, "B", "y")], S.ZONES)
     with pytest.raises(DimensionKeyError):
-        left_join_dimension(Q.clean_trips(trap_trips(spark)), dup, S.LOCATION).count()
+        left_join_dimension(Q.clean_trips(trap_trips(spark), R.strict_rules(2024)), dup, S.LOCATION).count()
 
 
-def test_broadcast_only_under_the_bound(spark):
-    clean = Q.clean_trips(trap_trips(spark))
-    small = left_join_dimension(clean, zones(spark), S.LOCATION)
+def test_broadcast_is_decided_by_bytes(spark, tmp_path):
+    clean = Q.clean_trips(trap_trips(spark), R.strict_rules(2024))
+    zones(spark).write.parquet(str(tmp_path / "zones"))
+    small = left_join_dimension(clean, spark.read.parquet(str(tmp_path / "zones")), S.LOCATION)
     assert "BroadcastHashJoin" in plan_of(small)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = left_join_dimension(clean, zones(spark), S.LOCATION, max_broadcast_rows=2)
-        assert "BroadcastHashJoin" not in plan_of(big)
-        assert sorted(big.collect(), key=repr) == sorted(small.collect(), key=repr)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # few rows, but wide: over Spark's byte threshold, so not broadcast
+    wide = spark.range(300).selectExpr(f"cast(id AS int) AS {S.LOCATION}", f"repeat('b', 50000) AS {S.BOROUGH}",
+                                       f"repeat('z', 50000) AS {S.ZONE}").cache()
+    wide.count()
+    assert "BroadcastHashJoin" not in plan_of(left_join_dimension(clean, wide, S.LOCATION))
+    wide.unpersist()
+
+
+def test_a_rewritten_dimension_is_checked_again(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    head = "LocationID,Borough,Zone,service_zone\n"
+    trips = Q.clean_trips(trap_trips(spark), R.strict_rules(2024))
+    path.write_text(head + "1,A,x,s\n2,B,y,s\n")
+    assert left_join_dimension(trips, read_zones_csv(spark, str(path)), S.LOCATION).count() == trips.count()
+    path.write_text(head + "1,A,x,s\n1,B,y,s\n")
+    spark.catalog.refreshByPath(str(path))
+    with pytest.raises(DimensionKeyError):
+        left_join_dimension(trips, read_zones_csv(spark, str(path)), S.LOCATION)
+
+
+def test_zone_columns_are_taken_by_name(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text("service_zone,Zone,LocationID,Borough\ns,Midtown,1,Manhattan\ns,N/A,2,Unknown\n")
+    assert sorted(tuple(r) for r in read_zones_csv(spark, str(path)).collect()) == [
+        (1, "Manhattan", "Midtown"), (2, "Unknown", "N/A")]
+    path.write_text("LocationID,Borough,Zone\nx1,A,B\n")
+    spark.catalog.refreshByPath(str(path))
+    with pytest.raises(Exception, match="malformed LocationID"):
+        read_zones_csv(spark, str(path)).collect()
 
 
 def test_zone_report_groups_by_name_not_id(spark):
@@ -47,7 +71,7 @@ def test_zone_report_groups_by_name_not_id(spark):
     trips = trap_trips(spark).filter("case_name = 'valid'").drop(S.LOCATION)
     many = spark.createDataFrame(rows, f"{S.LOCATION} int").crossJoin(trips)
     rep = {(r.Borough, r.Zone): r.trips
-           for r in Q.zone_report(Q.clean_trips(many), zones(spark)).collect()}
+           for r in Q.zone_report(Q.clean_trips(many, R.strict_rules(2024)), zones(spark)).collect()}
     assert rep == {("Manhattan", "Midtown"): 3, ("Queens", "Alpha"): 1}
 
 
@@ -55,7 +79,7 @@ def test_top_k_breaks_ties_by_name_with_nulls_last(spark):
     trips = trap_trips(spark).filter("case_name = 'valid'").drop(S.LOCATION)
     ids = [(6,), (5,), (999,), (1,), (1,)]  # Alpha, Beta, NULL group tie on 1 trip
     df = spark.createDataFrame(ids, f"{S.LOCATION} int").crossJoin(trips)
-    top = Q.top_zones(Q.clean_trips(df), zones(spark), k=3).collect()
+    top = Q.top_zones(Q.clean_trips(df, R.strict_rules(2024)), zones(spark), k=3).collect()
     assert [(r.Zone, r.trips) for r in top] == [("Midtown", 2), ("Alpha", 1), ("Beta", 1)]
 
 
@@ -71,7 +95,7 @@ def test_na_is_a_value_in_csv_and_reports(spark, tmp_path):
     assert sorted(tuple(r) for r in z.collect())[2:] == [(3, "Unknown", "N/A"), (4, "N/A", "Outside")]
     trips = trap_trips(spark).filter("case_name = 'valid'").drop(S.LOCATION)
     df = spark.createDataFrame([(3,), (4,), (4,)], f"{S.LOCATION} int").crossJoin(trips)
-    rep = {r.Borough: r.trips for r in Q.borough_report(Q.clean_trips(df), z).collect()}
+    rep = {r.Borough: r.trips for r in Q.borough_report(Q.clean_trips(df, R.strict_rules(2024)), z).collect()}
     assert rep == {"Unknown": 1, "N/A": 2}
 
 
@@ -94,7 +118,7 @@ def test_payment_labels_and_formatting(spark):
     bor = spark.createDataFrame([("Manhattan", 31659622, 756732632.15, 21.63),
                                  ("EWR", 1218, 114743.09, 25.07), ("Tiny", 5, 1.0, 1.0)],
                                 "Borough string, trips bigint, total_revenue double, avg_tip_pct double")
-    t = {r.Borough: r for r in P.formatted_borough_table(bor).collect()}
+    t = {r.Borough: r for r in P.formatted_borough_table(bor, min_trips=1000).collect()}
     assert set(t) == {"Manhattan", "EWR"}
     assert (t["Manhattan"].trips_text, t["Manhattan"].total_revenue_text) == ("31,659,622", "756,732,632")
     assert (t["EWR"].total_revenue_text, t["EWR"].avg_tip_pct_text) == ("114,743.09", "25.07")

@@ -5,18 +5,18 @@ from tripfold.plans import reports as Q
 
 
 def test_strict_rules_keep_exactly_the_valid_cases(spark):
-    kept = R.apply_rules(trap_trips(spark), R.strict_rules())
+    kept = R.apply_rules(trap_trips(spark), R.strict_rules(2024))
     assert {r.case_name for r in kept.select("case_name").collect()} == kept_names()
 
 
 def test_reject_counts_one_per_rule(spark):
-    rows = R.reject_counts(trap_trips(spark), R.strict_rules()).collect()
+    rows = R.reject_counts(trap_trips(spark), R.strict_rules(2024)).collect()
     assert [r.rule for r in sorted(rows, key=lambda r: r.rule_order)] == list(EXPECTED_REJECTS)
     assert {r.rule: r.rejected for r in rows} == EXPECTED_REJECTS
 
 
 def test_retention_counts_raw_and_clean_in_one_pass(spark):
-    row = R.retention(trap_trips(spark), R.strict_rules()).first()
+    row = R.retention(trap_trips(spark), R.strict_rules(2024)).first()
     assert row.raw_trips == 21
     assert row.clean_trips == len(kept_names())
     assert row.pct_kept == round(100.0 * len(kept_names()) / 21, 1)
@@ -24,14 +24,14 @@ def test_retention_counts_raw_and_clean_in_one_pass(spark):
 
 def test_nan_amounts_are_rejected(spark):
     # Spark orders NaN above every number, so a bare `> 0` would keep it.
-    kept = R.apply_rules(trap_trips(spark), R.strict_rules())
+    kept = R.apply_rules(trap_trips(spark), R.strict_rules(2024))
     names = {r.case_name for r in kept.collect()}
     assert not names & {"fare_nan", "total_nan", "distance_nan"}
 
 
 def test_bench_rules_are_a_superset_of_strict(spark):
     trips = trap_trips(spark)
-    strict = {r.case_id for r in R.apply_rules(trips, R.strict_rules()).collect()}
+    strict = {r.case_id for r in R.apply_rules(trips, R.strict_rules(2024)).collect()}
     bench = {r.case_id for r in R.apply_rules(trips, R.bench_rules()).collect()}
     assert strict <= bench
     # bench has no total/bound/year rule
@@ -43,7 +43,7 @@ def test_year_rule_is_a_pushed_range(spark, tmp_path):
     path = str(tmp_path / "trips")
     trap_trips(spark).write.parquet(path)
     from tripfold.sources.files import read_trips
-    df = Q.clean_trips(read_trips(spark, path))
+    df = Q.clean_trips(read_trips(spark, path), R.strict_rules(2024))
     plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01T00:00)" in plan
     assert "LessThan(tpep_pickup_datetime,2025-01-01T00:00)" in plan

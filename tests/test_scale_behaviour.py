@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripfold import schema as S
 from tripfold.operators.partials import partial_aggregate
+from tripfold.functions import rules as R
 from tripfold.plans import reports as Q
 from tripfold.sources.files import read_trips
 
@@ -32,12 +33,12 @@ def _skewed_trips(spark, n=30000):
 
 def test_hot_key_is_collapsed_map_side(spark):
     trips = _skewed_trips(spark).repartition(12)
-    parts = partial_aggregate(Q.clean_trips(trips), [S.LOCATION])
+    parts = partial_aggregate(Q.clean_trips(trips, R.strict_rules(2024)), [S.LOCATION])
     plan = spark._jvm.PythonSQLUtils.explainString(parts._jdf.queryExecution(), "formatted")
     assert "partial_count" in plan  # map-side combine before the exchange
     got = {r[S.LOCATION]: r.trips for r in parts.collect()}
     assert got[1] == 10000 and sum(got.values()) == 30000
-    top = Q.top_zones(Q.clean_trips(trips), zones(spark), k=2).collect()
+    top = Q.top_zones(Q.clean_trips(trips, R.strict_rules(2024)), zones(spark), k=2).collect()
     midtown = trips.filter(F.col(S.LOCATION).isin(1, 2)).count()  # ids 1, 2 share the name
     assert (top[0].Zone, top[0].trips) == ("Midtown", midtown)
 

@@ -1,12 +1,20 @@
+import pytest
+from pyspark.sql import functions as F
+
 from tripfold import schema as S
+from tripfold.functions.rules import strict_rules
 from tripfold.operators.partials import PARTIAL_KEYS, partial_aggregate
 from tripfold.plans import reports as Q
 from tripfold.plans import scaling as SC
+from tripfold.functions import derive as D
+from tripfold.sinks import PartialsStore
 from tripfold.sources import adapters as A
 from tripfold.streaming import incremental as INC
 
 from conftest import SF_SMALL
 
+RULES = strict_rules(None)
+
 
 def _rows(df):
     cols = sorted(df.columns)
@@ -14,21 +22,49 @@ def _rows(df):
                    for r in df.select(*cols).collect()), key=repr)
 
 
-def test_incremental_ingest_equals_one_shot_partials(spark, scratch):
-    trips = A.trips_from_events(spark, SF_SMALL).select(*[f.name for f in S.TRIPS.fields])
+def _same_as_one_shot(spark, trips, store):
+    direct = partial_aggregate(Q.clean_trips(trips, RULES, D.PERIOD_MONTH_SQL))
+    merged = PartialsStore(spark, store).merged()
+    assert set(PARTIAL_KEYS) <= set(merged.columns)
+    assert _rows(merged.select(*direct.columns)) == _rows(direct)
+
+
+@pytest.fixture(scope="module")
+def trips(spark):
+    return A.trips_from_events(spark, SF_SMALL).select(*[f.name for f in S.TRIPS.fields])
+
+
+def test_restarts_without_a_checkpoint_argument_lose_and_double_nothing(spark, trips, scratch):
     slices = SC.day_slices(trips, ("2024-01-11", "2024-01-21"))
-    src, store, ckpt = scratch + "/incoming", scratch + "/store", scratch + "/ckpt"
-    # two files arrive, the stream catches up and stops
+    src, store = scratch + "/incoming", scratch + "/store"
     slices[0].coalesce(1).write.parquet(src + "/part=1")
     slices[1].coalesce(1).write.parquet(src + "/part=2")
-    INC.start(spark, src + "/*", store, ckpt, max_files_per_trigger=1).awaitTermination()
-    seen = INC.batches(spark, store).count()
-    assert seen == 2
-    # a third file arrives; only it is processed on the next run
+    INC.start(spark, src + "/*", store, RULES, max_files_per_trigger=1).awaitTermination()
+    assert INC.batches(spark, store).count() == 2
+    # a restart with nothing new changes nothing
+    INC.start(spark, src + "/*", store, RULES).awaitTermination()
+    _same_as_one_shot(spark, slices[0].unionByName(slices[1]), store)
+    # a third file arrives; only it is processed
     slices[2].coalesce(1).write.parquet(src + "/part=3")
-    INC.start(spark, src + "/*", store, ckpt).awaitTermination()
+    INC.start(spark, src + "/*", store, RULES).awaitTermination()
     assert INC.batches(spark, store).count() == 3
-    direct = partial_aggregate(Q.clean_trips(trips))
-    merged = INC.merged_partials(spark, store)
-    assert _rows(merged.select(*direct.columns)) == _rows(direct)
-    assert set(PARTIAL_KEYS) <= set(merged.columns)
+    _same_as_one_shot(spark, trips, store)
+    # trips of another year arrive: kept, as the rules name no year
+    later = trips.withColumn(S.PICKUP, F.col(S.PICKUP) + F.expr("INTERVAL 366 DAYS"))
+    later.coalesce(1).write.parquet(src + "/part=4")
+    INC.start(spark, src + "/*", store, RULES).awaitTermination()
+    _same_as_one_shot(spark, trips.unionByName(later), store)
+
+
+def test_rejected_rows_are_counted_per_batch(spark, trips, scratch):
+    src, store = scratch + "/incoming", scratch + "/store"
+    later = trips.withColumn(S.PICKUP, F.col(S.PICKUP) + F.expr("INTERVAL 366 DAYS"))
+    later.coalesce(1).write.parquet(src)
+    INC.start(spark, src, store, strict_rules(2024)).awaitTermination()
+    rejects = {r.rule: r.rejected for r in PartialsStore(spark, store).rejects().collect()}
+    assert rejects["pickup_in_year"] == 1000  # a whole year that is not asked for shows
+
+
+def test_a_year_must_be_named():
+    with pytest.raises(TypeError):
+        strict_rules()

@@ -3,38 +3,56 @@
 analyze  – raw/clean counts and the four reports → one CSV each + metrics
 scaling  – the location query on the first 1/3/6/12 files, with timings
 ingest   – incremental partials from a landing folder (Structured Streaming)
+report   – the four reports from a store of partials
+
+Every command prints JSON lines.
 """
 
 from __future__ import annotations
 
 import argparse
-import glob
+import hashlib
+import json
+import statistics
 import time
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tripfold.functions.rules import strict_rules
 from tripfold.plans import reports as Q
-from tripfold.plans.pipeline import report_frames, run_pipeline
+from tripfold.plans.pipeline import report_frames, run_pipeline, store_reports
 from tripfold.session import build_session
 from tripfold.sinks import PartialsStore, write_metrics, write_report_csv
-from tripfold.sources.files import read_trip_slices, read_trips, read_zones_csv, read_zones_parquet
+from tripfold.sources.files import (list_files, read_trip_slices, read_trips, read_zones_csv,
+                                    read_zones_parquet)
 
 
 def _zones(spark, path):
     return read_zones_parquet(spark, path) if path.endswith(".parquet") else read_zones_csv(spark, path)
 
 
+def _emit(**fields) -> None:
+    print(json.dumps(fields, default=str), flush=True)
+
+
+def _emit_report(name: str, rows) -> None:
+    for row in rows:
+        _emit(report=name, **row.asDict())
+
+
 def analyze(args) -> None:
     t0 = time.time()
     spark = build_session("tripfold-analyze", master=args.master)
-    trips = read_trips(spark, args.trips)
-    zones = _zones(spark, args.zones)
+    files = list_files(spark, args.trips)
+    trips = read_trips(spark, files)
     store = PartialsStore(spark, args.partials) if args.partials else None
-    res = run_pipeline(trips, zones, k=args.top, store=store)
+    # the same files make the same batch, so a repeated run replaces its own rows
+    batch = args.batch or hashlib.sha1("\n".join(files).encode()).hexdigest()[:16]
+    res = run_pipeline(trips, _zones(spark, args.zones), strict_rules(args.year, args.max_distance),
+                       k=args.top, store=store, batch=batch)
     elapsed = time.time() - t0
-    print(f"Raw trips   : {res.raw_trips:,}")
-    print(f"Clean trips : {res.clean_trips:,} ({res.pct_kept}% kept)")
+    _emit(raw_trips=res.raw_trips, clean_trips=res.clean_trips, pct_kept=res.pct_kept,
+          seconds=round(elapsed, 3))
     if args.out:
         # the reports are already collected (bounded); write them as they are
         for name, df in report_frames(spark, res).items():
@@ -43,27 +61,25 @@ def analyze(args) -> None:
                       raw_trips=res.raw_trips, clean_trips=res.clean_trips,
                       runtime_sec=round(elapsed, 3))
     for name in ("by_hour", "top_zones", "by_borough", "by_payment"):
-        print(f"-- {name} --")
-        for row in getattr(res, name):
-            print("  ", ", ".join(f"{k}={v}" for k, v in row.asDict().items()))
+        _emit_report(name, getattr(res, name))
     spark.stop()
 
 
 def scaling(args) -> None:
     spark = build_session("tripfold-scaling", master=args.master)
-    files = sorted(p for pattern in args.trips for p in glob.glob(pattern)) or list(args.trips)
+    files = list_files(spark, args.trips)
     rows = []
     for k in args.steps:
-        t0 = time.time()
-        sl = read_trip_slices(spark, files, k)
-        res = Q.location_report(sl)
-        # one job: per-place rows carry the kept-row total as a window sum
-        # over the result, which is bounded by the number of places
-        out = res.withColumn("rows", F.sum("trips").over(Window.partitionBy()))
-        got = out.collect()
-        n = got[0]["rows"] if got else 0
-        rows.append((k, int(n), round(time.time() - t0, 3)))
-        print(f"{k:2d} file(s) | {n:>12,} rows | spark {rows[-1][2]:.3f}s")
+        # the total is a sum over the per-place result; no row is gathered
+        plan = Q.location_report(read_trip_slices(spark, files, k)).agg(F.sum("trips").alias("rows"))
+        plan.collect()  # warm-up
+        times = []
+        for _ in range(args.repeats):
+            t0 = time.time()
+            (got,) = plan.collect()
+            times.append(time.time() - t0)
+        rows.append((k, int(got["rows"] or 0), round(statistics.median(times), 3)))
+        _emit(files=min(k, len(files)), rows=rows[-1][1], spark_sec=rows[-1][2])
     if args.out:
         df = spark.createDataFrame(rows, "months int, rows bigint, spark_sec double")
         write_report_csv(df, args.out)
@@ -73,14 +89,35 @@ def scaling(args) -> None:
 def ingest(args) -> None:
     from tripfold.streaming import incremental
     spark = build_session("tripfold-ingest", master=args.master)
-    q = incremental.start(spark, args.source, args.store, args.checkpoint,
+    q = incremental.start(spark, args.source, args.store,
+                          strict_rules(args.year, args.max_distance), args.checkpoint,
                           max_files_per_trigger=args.max_files,
                           available_now=not args.continuous,
                           processing_time="1 minute" if args.continuous else None)
     q.awaitTermination()
+    for row in PartialsStore(spark, args.store).rejects().groupBy("rule_order", "rule").agg(
+            F.sum("rejected").alias("rejected")).orderBy("rule_order").collect():
+        _emit(rule=row["rule"], rejected=row["rejected"])
     spark.stop()
 
 
+def report(args) -> None:
+    spark = build_session("tripfold-report", master=args.master)
+    frames = store_reports(PartialsStore(spark, args.store), _zones(spark, args.zones), args.top,
+                           args.start, args.end)
+    for name, df in frames.items():
+        if args.out:
+            write_report_csv(df, f"{args.out.rstrip('/')}/{name}")
+        _emit_report(name, df.collect())
+    spark.stop()
+
+
+def _rule_options(parser, year_required: bool) -> None:
+    parser.add_argument("--year", type=int, required=year_required, default=None,
+                        help="keep pickups of this year" + ("" if year_required else " (default: every year)"))
+    parser.add_argument("--max-distance", type=float, default=100.0)
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="tripfold")
     p.add_argument("--master", default=None, help="only for local runs")
@@ -89,21 +126,33 @@ def main(argv=None) -> None:
     a.add_argument("--trips", nargs="+", required=True, help="Parquet files/globs")
     a.add_argument("--zones", required=True, help="zone CSV (header) or Parquet")
     a.add_argument("--out", default=None, help="folder for report CSVs and metrics")
-    a.add_argument("--partials", default=None, help="partitioned partials table to (re)write")
+    a.add_argument("--partials", default=None, help="store of partials to write this run to")
+    a.add_argument("--batch", default=None, help="name of this run in the store (default: from its files)")
     a.add_argument("--top", type=int, default=15)
+    _rule_options(a, year_required=True)
     a.set_defaults(fn=analyze)
     s = sub.add_parser("scaling")
     s.add_argument("--trips", nargs="+", required=True)
     s.add_argument("--steps", type=int, nargs="+", default=[1, 3, 6, 12])
+    s.add_argument("--repeats", type=int, default=3)
     s.add_argument("--out", default=None)
     s.set_defaults(fn=scaling)
     i = sub.add_parser("ingest")
     i.add_argument("--source", required=True)
     i.add_argument("--store", required=True)
-    i.add_argument("--checkpoint", default=None)
+    i.add_argument("--checkpoint", default=None, help="default: inside the store")
     i.add_argument("--max-files", type=int, default=None)
     i.add_argument("--continuous", action="store_true")
+    _rule_options(i, year_required=False)
     i.set_defaults(fn=ingest)
+    r = sub.add_parser("report")
+    r.add_argument("--store", required=True)
+    r.add_argument("--zones", required=True)
+    r.add_argument("--from", dest="start", default=None, help="first month, e.g. 2024-01-01")
+    r.add_argument("--to", dest="end", default=None, help="month after the last")
+    r.add_argument("--out", default=None)
+    r.add_argument("--top", type=int, default=15)
+    r.set_defaults(fn=report)
     args = p.parse_args(argv)
     args.fn(args)
 

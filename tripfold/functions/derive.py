@@ -23,20 +23,6 @@ PERIOD_DAY_SQL = f"to_date({S.PICKUP})"
 PERIOD_MONTH_SQL = f"trunc(to_date({S.PICKUP}), 'month')"
 
 
-def hour_of_day() -> Column:
-    return F.expr(HOUR_SQL)
-
-
-def trip_minutes() -> Column:
-    """Whole-second duration in minutes; may be negative (not filtered)."""
-    return F.expr(MINUTES_SQL)
-
-
-def tip_pct() -> Column:
-    """100 * tip / fare, or 0.0 where the fare is not positive."""
-    return F.expr(TIP_PCT_SQL)
-
-
 def tip_pct_unguarded() -> Column:
     """The benchmark's form: no guard; ANSI-safe (NULL instead of an error)."""
     return F.expr(TIP_PCT_UNGUARDED_SQL)
@@ -46,15 +32,11 @@ def period_day() -> Column:
     return F.expr(PERIOD_DAY_SQL)
 
 
-def period_month() -> Column:
-    return F.expr(PERIOD_MONTH_SQL)
-
-
 def derive(df: DataFrame, period: str | Column | None = PERIOD_DAY_SQL) -> DataFrame:
-    """Add hour, trip_minutes, tip_pct and (optionally) the period column.
+    """Add hour, trip_minutes, tip_pct and the period column.
 
-    ``period`` is expression text (``PERIOD_DAY_SQL`` by default) or a
-    Column.
+    ``period`` is expression text (``PERIOD_DAY_SQL`` by default), a Column,
+    or ``None`` for no period column.
     """
     exprs = ["*", f"{HOUR_SQL} AS {S.HOUR}", f"{MINUTES_SQL} AS {S.MINUTES}",
              f"{TIP_PCT_SQL} AS {S.TIP_PCT}"]

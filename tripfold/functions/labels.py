@@ -43,3 +43,8 @@ def report_number(column: str) -> Column:
 def report_count(column: str) -> Column:
     """Table text for an integer count, with thousands separators."""
     return F.format_number(F.col(column), 0)
+
+
+def percent_label(column: str) -> Column:
+    """``x.y%`` of a value that is reported with two decimals (halves round up)."""
+    return F.concat(F.round(F.col(column).cast("decimal(18,2)"), 1).cast("string"), F.lit("%"))

@@ -1,85 +1,32 @@
-"""Fact → dimension left join with a checked broadcast.
+"""Fact → dimension left join that cannot multiply fact rows.
 
-The dimension is broadcast only after its row count is measured and found
-under a bound; above it the join is left to a shuffle join, where AQE's
-skew-join handling splits a hot fact key across tasks.  The same check
-asserts that the dimension key is unique, so the join can never multiply
-fact rows (N:1).
+The dimension key is checked for uniqueness every time a join is planned (one
+small job over the dimension, nothing cached, so a rewritten file is seen).
+There is no broadcast hint: Spark broadcasts the dimension when its measured
+size in bytes is under ``spark.sql.autoBroadcastJoinThreshold``, and otherwise
+shuffles, where AQE's skew-join handling splits a hot fact key.
 """
 
 from __future__ import annotations
 
-import threading
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# ~1M narrow rows broadcast as a few tens of MB; anything larger shuffles.
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 class DimensionKeyError(ValueError):
     """The dimension has two rows for one key: the join would fan out."""
 
 
-@dataclass(frozen=True)
-class DimensionStats:
-    rows: int
-    keyed_rows: int
-    distinct_keys: int
-
-    @property
-    def unique(self) -> bool:
-        return self.keyed_rows == self.distinct_keys
-
-
-_STATS_CACHE: dict[tuple, DimensionStats] = {}
-_STATS_LOCK = threading.Lock()
-
-
-def _stats_key(dim: DataFrame, key: str) -> tuple:
-    # Same analysed plan over the same files ⇒ same statistics.  The plan's
-    # semantic hash ignores cosmetic differences (aliases, expression ids).
-    return (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(),
-            tuple(sorted(dim.inputFiles())), key)
-
-
-def dimension_stats(dim: DataFrame, key: str, use_cache: bool = True) -> DimensionStats:
-    """One small job: row count, non-null key count, distinct key count.
-
-    Measured once per (plan, files, key) in a session and then reused, so
-    a dimension shared by many reports is counted once.
-    """
-    cache_key = _stats_key(dim, key) if use_cache else None
-    if cache_key is not None:
-        with _STATS_LOCK:
-            hit = _STATS_CACHE.get(cache_key)
-        if hit is not None:
-            return hit
-    row = dim.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("k"),
-                  F.count_distinct(key).alias("d")).first()
-    stats = DimensionStats(int(row["n"]), int(row["k"]), int(row["d"]))
-    if cache_key is not None:
-        with _STATS_LOCK:
-            _STATS_CACHE[cache_key] = stats
-    return stats
-
-
-def clear_stats_cache() -> None:
-    with _STATS_LOCK:
-        _STATS_CACHE.clear()
+def check_unique(dim: DataFrame, key: str) -> None:
+    """Raise ``DimensionKeyError`` if a key has two rows (NULL keys never match and may repeat)."""
+    twice = (dim.where(F.col(key).isNotNull()).groupBy(key).count()
+             .where("count > 1").limit(1).collect())
+    if twice:
+        raise DimensionKeyError(f"dimension key {key!r} is not unique: {twice[0][key]!r} has "
+                                f"{twice[0]['count']} rows")
 
 
-def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str,
-                        max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                        check_unique: bool = True) -> DataFrame:
+def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)``; unmatched fact rows keep NULLs."""
-    stats = dimension_stats(dim, key)
-    if check_unique and not stats.unique:
-        raise DimensionKeyError(
-            f"dimension key {key!r} is not unique: {stats.keyed_rows} rows, "
-            f"{stats.distinct_keys} distinct keys")
-    if stats.rows <= max_broadcast_rows:
-        return fact.join(F.broadcast(dim), on=key, how="left")
+    check_unique(dim, key)
     return fact.join(dim, on=key, how="left")

@@ -40,6 +40,8 @@ MEASURES = ["trips", "sum_distance", "sum_fare", "sum_tip_pct", "n_tip_pct", "su
 
 # The finest key set the library stores.
 PARTIAL_KEYS = [S.PERIOD, S.HOUR, S.LOCATION, S.PAYMENT]
+# All that a report over one set of trips needs.
+REPORT_KEYS = [S.HOUR, S.LOCATION, S.PAYMENT]
 
 
 def partial_aggregate(clean: DataFrame, keys: Sequence[str] = PARTIAL_KEYS) -> DataFrame:

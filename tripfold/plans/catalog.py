@@ -15,53 +15,59 @@ from pyspark.sql import functions as F
 
 from tripfold import schema as S
 from tripfold.functions import rules as R
-from tripfold.operators.partials import money, partial_aggregate
+from tripfold.functions import derive as D
+from tripfold.operators.partials import REPORT_KEYS, mean, merge, money, partial_aggregate
 from tripfold.plans import presentation as P
 from tripfold.plans import reports as Q
 from tripfold.plans import scaling as SC
+from tripfold.session import scratch_table_path
+from tripfold.sinks import PartialsStore
 from tripfold.sources import adapters as A
 
-# Threshold for the borough HAVING query: chosen so that the filter keeps
-# some and drops some boroughs on the sf0.01 tables (the reference's own
-# chart threshold, 1000, keeps them all there).
-BOROUGH_MIN_TRIPS = 1170
+# Year of the events table (its rows of other years are rejected).
+YEAR = 2024
 
-# Day boundaries of the three disjoint slices of the UNION ALL query.
-UNION_BOUNDS = ("2024-01-11", "2024-01-21")
+# Multiples of the mean group's trips that the borough views ask for: the mean
+# itself keeps some and drops some at every size.
+CHART_OF_MEAN = 1.0
+TABLE_OF_MEAN = 0.5
+
+# Boundaries of the three disjoint period ranges of the merged partials.
+PERIOD_BOUNDS = ("2024-01-11", "2024-01-21")
 
 # lineitem adapter parameters: ship year kept, quantity bound.
 LINEITEM_YEAR = 1998
 LINEITEM_MAX_DISTANCE = 45.0
 
 
-def _events(spark: SparkSession, d: str):
-    return A.trips_from_events(spark, d), A.zones_from_nation_region(spark, d)
+def _rules():
+    return R.strict_rules(YEAR)
 
 
-def _clean(spark: SparkSession, d: str) -> DataFrame:
-    return Q.clean_trips(A.trips_from_events(spark, d))
+def _clean(spark: SparkSession, d: str, period: str | None = None) -> DataFrame:
+    return Q.clean_trips(A.trips_from_events(spark, d), _rules(), period)
 
 
 def _partials(spark: SparkSession, d: str) -> DataFrame:
-    return partial_aggregate(_clean(spark, d))
+    """What a report needs: no period, so the table is a few percent of the trips."""
+    return partial_aggregate(_clean(spark, d), REPORT_KEYS)
 
 
-def demand_by_hour(spark, d):
-    return Q.hour_report(_clean(spark, d))
+def demand_by_hour(spark, d, ordered=True):
+    return Q.hour_report(_clean(spark, d), ordered=ordered)
 
 
 def top_zones(spark, d):
-    trips, zones = _events(spark, d)
-    return Q.top_zones(Q.clean_trips(trips), zones, k=15)
+    return Q.top_zones(_clean(spark, d), A.zones_from_nation_region(spark, d), k=15)
 
 
-def revenue_by_borough(spark, d):
-    trips, zones = _events(spark, d)
-    return Q.borough_report(Q.clean_trips(trips), zones)
+def revenue_by_borough(spark, d, ordered=True):
+    zones = A.zones_from_nation_region(spark, d)
+    return Q.borough_report(_clean(spark, d), zones, ordered=ordered)
 
 
-def tips_by_payment(spark, d):
-    return Q.payment_report(_clean(spark, d))
+def tips_by_payment(spark, d, ordered=True):
+    return Q.payment_report(_clean(spark, d), ordered=ordered)
 
 
 def trips_by_location(spark, d):
@@ -69,11 +75,11 @@ def trips_by_location(spark, d):
 
 
 def retention(spark, d):
-    return R.retention(A.trips_from_events(spark, d), R.strict_rules())
+    return R.retention(A.trips_from_events(spark, d), _rules())
 
 
 def clean_trips(spark, d):
-    c = _clean(spark, d)
+    c = _clean(spark, d, D.PERIOD_DAY_SQL)
     return c.select(A.EVENTS_TRIP_ID, S.PERIOD, S.HOUR,
                     F.round(S.MINUTES, 6).alias(S.MINUTES),
                     F.round(S.TIP_PCT, 6).alias(S.TIP_PCT))
@@ -84,13 +90,12 @@ def trip_minutes_by_hour(spark, d):
 
 
 def enriched_trips(spark, d):
-    trips, zones = _events(spark, d)
-    e = Q.enriched_trips(Q.clean_trips(trips), zones)
+    e = Q.enriched_trips(_clean(spark, d), A.zones_from_nation_region(spark, d))
     return e.select(A.EVENTS_TRIP_ID, S.LOCATION, S.BOROUGH, S.ZONE)
 
 
 def partials(spark, d):
-    p = _partials(spark, d)
+    p = partial_aggregate(_clean(spark, d, D.PERIOD_MONTH_SQL))
     return p.select(S.PERIOD, S.HOUR, S.LOCATION, S.PAYMENT, "trips",
                     F.round("sum_distance", 2).alias("sum_distance"),
                     money("sum_fare").alias("sum_fare"),
@@ -118,35 +123,65 @@ def payment_from_partials(spark, d):
 
 
 def zone_labels_top10(spark, d):
-    trips, zones = _events(spark, d)
-    return P.zone_labels(Q.zone_report(Q.clean_trips(trips), zones), k=10)
+    return P.zone_labels(Q.zone_report(_clean(spark, d), A.zones_from_nation_region(spark, d)), k=10)
+
+
+def zone_labels_rising(spark, d):
+    zones = A.zones_from_nation_region(spark, d)
+    return P.zone_labels(Q.zone_report(_clean(spark, d), zones), k=10, rising=True)
 
 
 def borough_min_trips(spark, d):
-    return P.borough_min_trips(revenue_by_borough(spark, d), BOROUGH_MIN_TRIPS)
+    return P.borough_min_trips(revenue_by_borough(spark, d, ordered=False), of_mean=CHART_OF_MEAN)
 
 
 def payment_labels(spark, d):
-    return P.payment_labels(tips_by_payment(spark, d))
+    return P.payment_labels(tips_by_payment(spark, d, ordered=False))
+
+
+def tip_labels_by_payment(spark, d):
+    return P.tip_labels(tips_by_payment(spark, d, ordered=False))
 
 
 def scaled_slice(spark, d):
     return SC.scaled_slices(A.trips_from_events(spark, d))
 
 
+def scaling_feed(spark, d):
+    return P.scaling_feed(scaled_slice(spark, d))
+
+
 def sliced_union(spark, d):
-    trips = A.trips_from_events(spark, d)
-    whole = SC.union_all(SC.day_slices(trips, UNION_BOUNDS))
-    return Q.payment_report(Q.clean_trips(whole))
+    """UNION ALL of two separate inputs, each scanned once."""
+    both = SC.union_all([A.trips_from_events(spark, d).drop(A.EVENTS_TRIP_ID),
+                         A.trips_from_lineitem(spark, d).drop(A.LINEITEM_TRIP_ID)])
+    return Q.payment_report(Q.clean_trips(both, R.strict_rules(None), None))
+
+
+def periods_merged(spark, d):
+    """Partials of disjoint periods, one stored batch each, concatenated and merged by hour and payment type.
+
+    The store is partitioned by period, so each range reads its own folders and
+    the trips are scanned once, when the store is written.
+    """
+    store = PartialsStore(spark, scratch_table_path(spark, "periods"))
+    store.write(partial_aggregate(_clean(spark, d, D.PERIOD_DAY_SQL)), "all")
+    edges = ["0001-01-01", *PERIOD_BOUNDS, "9999-12-31"]
+    whole = SC.union_all([store.periods(a, b) for a, b in zip(edges[:-1], edges[1:])])
+    merged = merge(whole, [S.HOUR, S.PAYMENT])
+    return merged.select(
+        S.HOUR, S.PAYMENT, "trips", mean("sum_distance", digits=10).alias("avg_distance_mi"),
+        mean("sum_fare", digits=10).alias("avg_fare"),
+        mean("sum_tip_pct", "n_tip_pct", digits=10).alias("avg_tip_pct"),
+        money("sum_total").alias("total_revenue"))
 
 
 def share_of_total(spark, d):
-    trips, zones = _events(spark, d)
-    return P.share_of_total(Q.clean_trips(trips), zones)
+    return P.share_of_total(_clean(spark, d), A.zones_from_nation_region(spark, d))
 
 
 def peak_trough(spark, d):
-    return P.peak_trough(demand_by_hour(spark, d))
+    return P.peak_trough(demand_by_hour(spark, d, ordered=False))
 
 
 def blended_vs_card_tip(spark, d):
@@ -154,15 +189,15 @@ def blended_vs_card_tip(spark, d):
 
 
 def reject_counts(spark, d):
-    return R.reject_counts(A.trips_from_events(spark, d), R.strict_rules())
+    return R.reject_counts(A.trips_from_events(spark, d), _rules())
 
 
 def demand_chart_feed(spark, d):
-    return P.demand_chart_feed(demand_by_hour(spark, d))
+    return P.demand_chart_feed(demand_by_hour(spark, d, ordered=False))
 
 
 def formatted_borough_table(spark, d):
-    return P.formatted_borough_table(revenue_by_borough(spark, d), P.MIN_BOROUGH_TRIPS)
+    return P.formatted_borough_table(revenue_by_borough(spark, d, ordered=False), of_mean=TABLE_OF_MEAN)
 
 
 # ------------------------------------------------------------ lineitem
@@ -174,17 +209,25 @@ def lineitem_reject_counts(spark, d):
     return R.reject_counts(A.trips_from_lineitem(spark, d), _lineitem_rules())
 
 
+def lineitem_margin_reject_counts(spark, d):
+    return R.reject_counts(A.trips_from_lineitem_margin(spark, d), _lineitem_rules())
+
+
+def lineitem_margin_retention(spark, d):
+    return R.retention(A.trips_from_lineitem_margin(spark, d), _lineitem_rules())
+
+
 def lineitem_retention(spark, d):
     return R.retention(A.trips_from_lineitem(spark, d), _lineitem_rules())
 
 
 def lineitem_top_places(spark, d):
-    clean = Q.clean_trips(A.trips_from_lineitem(spark, d), _lineitem_rules())
+    clean = Q.clean_trips(A.trips_from_lineitem(spark, d), _lineitem_rules(), None)
     return Q.top_zones(clean, A.zones_from_supplier(spark, d), k=15)
 
 
 def lineitem_revenue_by_region(spark, d):
-    clean = Q.clean_trips(A.trips_from_lineitem(spark, d), _lineitem_rules())
+    clean = Q.clean_trips(A.trips_from_lineitem(spark, d), _lineitem_rules(), None)
     return Q.borough_report(clean, A.zones_from_supplier(spark, d))
 
 
@@ -206,6 +249,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_labels_top10": zone_labels_top10,
     "borough_min_trips": borough_min_trips,
     "payment_labels": payment_labels,
+    "zone_labels_rising": zone_labels_rising,
+    "tip_labels_by_payment": tip_labels_by_payment,
+    "scaling_feed": scaling_feed,
+    "periods_merged": periods_merged,
+    "lineitem_margin_reject_counts": lineitem_margin_reject_counts,
+    "lineitem_margin_retention": lineitem_margin_retention,
     "scaled_slice": scaled_slice,
     "sliced_union": sliced_union,
     "share_of_total": share_of_total,

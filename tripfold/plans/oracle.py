@@ -47,6 +47,19 @@ trips AS (
          l_extendedprice * (1 - l_discount) * (1 + l_tax) AS total_amount
   FROM lineitem)"""
 
+MARGIN_TRIPS = """
+trips AS (
+  SELECT CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN NULL ELSE CAST(l_shipdate AS TIMESTAMP) END
+           AS tpep_pickup_datetime,
+         CAST(l_shipdate AS TIMESTAMP) AS tpep_dropoff_datetime,
+         CAST(l_linenumber - 1 AS BIGINT) AS passenger_count,
+         l_quantity - 1 AS trip_distance,
+         l_extendedprice - CAST(1000 AS DOUBLE) * l_quantity AS fare_amount,
+         l_extendedprice * l_tax AS tip_amount,
+         (l_extendedprice - CAST(1000 AS DOUBLE) * l_quantity)
+           - CAST(5000 AS DOUBLE) * l_discount * l_quantity AS total_amount
+  FROM lineitem)"""
+
 SUPPLIER_ZONES = """
 zones AS (
   SELECT CAST(s_suppkey AS INTEGER) AS PULocationID, r_name AS Borough, n_name AS Zone
@@ -89,6 +102,7 @@ clean AS (
            / CAST(60 AS DOUBLE) AS trip_minutes,
          CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount * 100
               ELSE CAST(0 AS DOUBLE) END AS tip_pct,
+         CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS month,
          CAST(tpep_pickup_datetime AS DATE) AS period
   FROM trips
   WHERE {where(rules)})"""
@@ -157,6 +171,21 @@ def _li_rules():
     return strict_rules(year=1998, max_distance=45.0)
 
 
+# Days that the kept trips have, numbered, and the steps of twelfths that hold them.
+STEPS = f"""
+kept AS (
+  SELECT PULocationID, tip_amount / fare_amount * 100 AS tip_pct,
+         CAST(tpep_pickup_datetime AS DATE) AS day
+  FROM trips WHERE {where(BENCH_RULES)}),
+days AS (SELECT day, row_number() OVER (ORDER BY day) AS nth, count(*) OVER () AS n
+         FROM (SELECT DISTINCT day FROM kept WHERE day IS NOT NULL)),
+ks AS (SELECT * FROM (VALUES (1), (3), (6), (12)) t(k))"""
+
+SLICES = """
+SELECT k, PULocationID, count(*) AS trips, round(avg(tip_pct), 6) AS avg_tip
+FROM kept LEFT JOIN days USING (day) JOIN ks ON coalesce(nth <= ceil(n * k / CAST(12 AS DOUBLE)), k = 12)
+GROUP BY k, PULocationID"""
+
 SQL: dict[str, str] = {
     "demand_by_hour": EV + HOUR,
     "top_zones": EV + TOP_ZONES,
@@ -182,13 +211,13 @@ FROM clean GROUP BY hour""",
 SELECT event_id, PULocationID, Borough, Zone
 FROM clean LEFT JOIN zones USING (PULocationID)""",
     "partials": EV + """
-SELECT period, hour, PULocationID, payment_type, count(*) AS trips,
+SELECT month AS period, hour, PULocationID, payment_type, count(*) AS trips,
        round(sum(trip_distance), 2) AS sum_distance,
        round(sum(fare_amount), 2) AS sum_fare,
        round(sum(tip_pct), 4) AS sum_tip_pct,
        count(tip_pct) AS n_tip_pct,
        round(sum(total_amount), 2) AS sum_total
-FROM clean GROUP BY period, hour, PULocationID, payment_type""",
+FROM clean GROUP BY month, hour, PULocationID, payment_type""",
     "hour_from_partials": EV + HOUR,
     "zones_from_partials": EV + TOP_ZONES,
     "borough_from_partials": EV + BOROUGH,
@@ -201,7 +230,9 @@ ORDER BY trips DESC, Borough ASC NULLS LAST, Zone ASC NULLS LAST
 LIMIT 10""",
     "borough_min_trips": EV + f"""
 SELECT Borough, trips, total_revenue, total_revenue / {MILLION} AS revenue_millions
-FROM ({BOROUGH}) b WHERE trips > 1170""",
+FROM ({BOROUGH}) b
+WHERE trips > (SELECT avg(trips) FROM ({BOROUGH}) m)
+ORDER BY total_revenue, Borough NULLS LAST""",
     "payment_labels": EV + f"""
 SELECT payment_type, payment_method, trips, avg_tip_pct,
        payment_method || chr(10) || '(' || CAST(round(trips / {MILLION}, 1) AS VARCHAR)
@@ -210,28 +241,41 @@ FROM (SELECT *, CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash'
                      WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' END AS payment_method
       FROM ({PAYMENT}) p) q
 WHERE payment_type IN (1, 2, 3, 4)""",
-    "scaled_slice": with_(EVENTS_TRIPS) + f"""
-, b AS (
-  SELECT PULocationID, tip_amount / fare_amount * 100 AS tip_pct,
-         date_diff('day', DATE '2024-01-01', CAST(tpep_pickup_datetime AS DATE)) AS idx
-  FROM trips
-  WHERE {where(BENCH_RULES)}
-    AND tpep_pickup_datetime >= TIMESTAMP '2024-01-01'
-    AND tpep_pickup_datetime < TIMESTAMP '2024-01-13'),
-ks AS (SELECT * FROM (VALUES (1), (3), (6), (12)) t(k))
-SELECT k, PULocationID, count(*) AS trips, round(avg(tip_pct), 6) AS avg_tip
-FROM b JOIN ks ON b.idx < ks.k
-GROUP BY k, PULocationID""",
-    "sliced_union": EV + """
-SELECT payment_type, count(*) AS trips, round(avg(tip_pct), 2) AS avg_tip_pct
-FROM (SELECT * FROM clean WHERE tpep_pickup_datetime < TIMESTAMP '2024-01-11'
-                             OR tpep_pickup_datetime IS NULL
-      UNION ALL
-      SELECT * FROM clean WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-11'
-                            AND tpep_pickup_datetime < TIMESTAMP '2024-01-21'
-      UNION ALL
-      SELECT * FROM clean WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-21') u
-GROUP BY payment_type""",
+    "scaled_slice": with_(EVENTS_TRIPS, STEPS) + SLICES,
+    "scaling_feed": with_(EVENTS_TRIPS, STEPS) + f"""
+SELECT k AS "Step", CAST(sum(trips) AS BIGINT) AS "Rows", sum(trips) / {MILLION} AS "Rows (millions)",
+       format('{{:,}}', CAST(sum(trips) AS BIGINT)) AS "Rows text", count(*) AS "Places"
+FROM ({SLICES}) s GROUP BY k ORDER BY k""",
+    "zone_labels_rising": EV + f"""
+SELECT label, trips, trips_millions FROM (
+  SELECT Zone || ' (' || Borough || ')' AS label, trips, trips / {MILLION} AS trips_millions, Borough, Zone
+  FROM ({ZONE_REPORT}) z
+  WHERE Zone IS NOT NULL AND Borough IS NOT NULL
+  ORDER BY trips DESC, Borough ASC, Zone ASC LIMIT 10) t
+ORDER BY trips ASC, Borough DESC, Zone DESC""",
+    "tip_labels_by_payment": EV + f"""
+SELECT payment_type,
+       CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash'
+                         WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' END AS payment_method,
+       CAST(round(CAST(avg_tip_pct AS DECIMAL(18, 2)), 1) AS VARCHAR) || '%' AS tip_label
+FROM ({PAYMENT}) p WHERE payment_type IN (1, 2, 3, 4) ORDER BY payment_type""",
+    "periods_merged": EV + """
+SELECT hour, payment_type, count(*) AS trips, round(avg(trip_distance), 10) AS avg_distance_mi,
+       round(avg(fare_amount), 10) AS avg_fare, round(avg(tip_pct), 10) AS avg_tip_pct,
+       round(sum(total_amount), 2) AS total_revenue
+FROM clean GROUP BY hour, payment_type""",
+    "lineitem_margin_reject_counts": with_(MARGIN_TRIPS) + ", " + reject_counts_sql(_li_rules()),
+    "lineitem_margin_retention": with_(MARGIN_TRIPS) + retention_sql(_li_rules()),
+    "sliced_union": with_(EVENTS_TRIPS, LINEITEM_TRIPS.replace("trips AS", "lines AS"), f"""
+clean AS (
+  SELECT payment_type, CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount * 100
+                            ELSE CAST(0 AS DOUBLE) END AS tip_pct
+  FROM (SELECT tpep_pickup_datetime, passenger_count, trip_distance, payment_type, fare_amount,
+               tip_amount, total_amount FROM trips
+        UNION ALL
+        SELECT tpep_pickup_datetime, passenger_count, trip_distance, payment_type, fare_amount,
+               tip_amount, total_amount FROM lines) u
+  WHERE {where(strict_rules()[:-1])})""") + PAYMENT,
     "share_of_total": EV + """
 SELECT Borough, count(*) AS trips,
        round(sum(total_amount), 2) AS total_revenue,
@@ -265,7 +309,9 @@ SELECT Borough,
             ELSE format('{{:,.0f}}', total_revenue) END AS total_revenue_text,
        CASE WHEN abs(avg_tip_pct) < {MILLION} THEN format('{{:,.2f}}', avg_tip_pct)
             ELSE format('{{:,.0f}}', avg_tip_pct) END AS avg_tip_pct_text
-FROM ({BOROUGH}) b WHERE trips > 1000""",
+FROM ({BOROUGH}) b
+WHERE trips > CAST(0.5 AS DOUBLE) * (SELECT avg(trips) FROM ({BOROUGH}) m)
+ORDER BY total_revenue DESC, Borough NULLS LAST""",
     "lineitem_reject_counts": with_(LINEITEM_TRIPS) + ", " + reject_counts_sql(_li_rules()),
     "lineitem_retention": with_(LINEITEM_TRIPS) + retention_sql(_li_rules()),
     "lineitem_top_places": with_(LINEITEM_TRIPS, SUPPLIER_ZONES, clean_cte(_li_rules()))

@@ -8,9 +8,11 @@ Job layout (what runs, in order):
 3. four roll-ups of the partials (hour, zone top-k, borough, payment),
    each a small job over a table bounded by the key domain.
 
-The partials are either persisted (re-computable from lineage if an
-executor is lost) or written to a partitioned table under the shared
-checkpoint folder, which also cuts the lineage.  The wide cleaned fact is
+Without a store no report needs a period, so the partials have the keys
+hour, place and payment only and are persisted (re-computable from lineage
+if an executor is lost).  With a store they also have the month and are
+written as one batch of it; the reports are then made from that batch alone,
+so raw and clean counts are of the same trips.  The wide cleaned fact is
 never cached.
 """
 
@@ -19,12 +21,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.types import StructType
 
 from tripfold import schema as S
-from tripfold.functions.rules import Rule, strict_rules
-from tripfold.operators.partials import partial_aggregate
+from tripfold.functions import derive as D
+from tripfold.functions.rules import Rule
+from tripfold.operators.partials import REPORT_KEYS, partial_aggregate
 from tripfold.operators.topk import top_k
 from tripfold.plans import reports as Q
 from tripfold.sinks import PartialsStore
@@ -62,21 +65,19 @@ def build_reports(partials: DataFrame, zones: DataFrame, k: int = 15,
     }
 
 
-def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule] | None = None,
-                 period: str | Column | None = None, k: int = 15,
-                 store: PartialsStore | None = None) -> PipelineResult:
+def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule], k: int = 15,
+                 store: PartialsStore | None = None, batch: str = "all") -> PipelineResult:
     """Run the whole analysis; report results are bounded and collected.
 
     The clean count is the sum of the hour report's trips (every cleaned
     row has exactly one hour group, NULL included), so it costs no job.
     """
-    rules = strict_rules() if rules is None else rules
     raw = trips.count()
-    partials = partial_aggregate(Q.clean_trips(trips, rules, period))
     if store is not None:
-        store.write(partials)
-        partials = store.read()
+        store.write(partial_aggregate(Q.clean_trips(trips, rules, D.PERIOD_MONTH_SQL)), batch)
+        partials = store.read(batch)
     else:
+        partials = partial_aggregate(Q.clean_trips(trips, rules, None), REPORT_KEYS)
         partials = partials.persist(StorageLevel.MEMORY_AND_DISK)
     # (Borough, Zone) measures: bounded by the number of named places
     named = Q.place_measures(partials, zones, [S.BOROUGH, S.ZONE], from_partials=True).persist()
@@ -92,6 +93,13 @@ def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule] | None =
                           schemas={n: df.schema for n, df in plans.items()}, **reports)
 
 
+def store_reports(store: PartialsStore, zones: DataFrame, k: int = 15, start: str | None = None,
+                  end: str | None = None) -> dict[str, DataFrame]:
+    """The four reports of everything in a store, or of the months ``start <= period < end``."""
+    rows = store.read() if start is None else store.periods(start, end or "9999-12-31")
+    return build_reports(rows, zones, k)
+
+
 def report_frames(spark, result: PipelineResult) -> dict[str, DataFrame]:
     """The collected (bounded) reports back as DataFrames, e.g. for sinks."""
     return {name: spark.createDataFrame(getattr(result, name), schema)

@@ -17,24 +17,39 @@ from tripfold.operators.partials import measures, mean
 from tripfold.operators.topk import sort_bounded, top_k
 from tripfold.plans.reports import place_measures
 
-# Reference value of the chart/table threshold on borough trips.
-MIN_BOROUGH_TRIPS = 1000
+def _above(borough_report: DataFrame, min_trips: int | None, of_mean: float | None) -> DataFrame:
+    """Groups with more trips than a number, or than a multiple of the mean group (HAVING).
+
+    The multiple means the same at every size of the table.  The mean is a
+    window over the report, which has one row per borough.
+    """
+    if min_trips is not None:
+        return borough_report.filter(F.col("trips") > F.lit(min_trips))
+    mean_trips = F.avg("trips").over(Window.partitionBy())
+    marked = borough_report.withColumn("_mean", mean_trips)
+    return marked.filter(F.col("trips") > F.lit(float(of_mean)) * F.col("_mean")).drop("_mean")
 
 
-def zone_labels(zone_report: DataFrame, k: int = 10) -> DataFrame:
+def zone_labels(zone_report: DataFrame, k: int = 10, rising: bool = False) -> DataFrame:
     """Top-k named zones as ``Zone (Borough)`` with trips in millions.
 
     The group of trips without a zone has no name to show and is left out.
+    ``rising`` gives the same k rows from the least to the busiest, the order
+    in which a horizontal bar chart is drawn.
     """
     named = zone_report.filter(F.col(S.ZONE).isNotNull() & F.col(S.BOROUGH).isNotNull())
     top = top_k(named, k, desc=["trips"], asc=[S.BOROUGH, S.ZONE])
+    if rising:
+        top = top.repartition(1).sortWithinPartitions(
+            F.col("trips").asc(), F.col(S.BOROUGH).desc(), F.col(S.ZONE).desc())
     return top.select(L.zone_label().alias("label"), "trips",
                       L.millions("trips").alias("trips_millions"))
 
 
-def borough_min_trips(borough_report: DataFrame, min_trips: int = MIN_BOROUGH_TRIPS) -> DataFrame:
+def borough_min_trips(borough_report: DataFrame, min_trips: int | None = None,
+                      of_mean: float | None = None) -> DataFrame:
     """Boroughs above a trip threshold (HAVING), ascending by revenue."""
-    kept = borough_report.filter(F.col("trips") > F.lit(min_trips))
+    kept = _above(borough_report, min_trips, of_mean)
     return sort_bounded(kept.select(S.BOROUGH, "trips", "total_revenue",
                                     L.millions("total_revenue").alias("revenue_millions")),
                         asc=["total_revenue", S.BOROUGH])
@@ -108,10 +123,27 @@ def demand_chart_feed(hour_report: DataFrame) -> DataFrame:
     return sort_bounded(feed, asc=[S.HOUR])
 
 
-def formatted_borough_table(borough_report: DataFrame,
-                            min_trips: int = MIN_BOROUGH_TRIPS) -> DataFrame:
+def tip_labels(payment_report: DataFrame) -> DataFrame:
+    """Known payment methods with their mean tip as ``x.y%``, ordered by code."""
+    kept = payment_report.filter(F.col(S.PAYMENT).isin(list(L.PAYMENT_NAMES)))
+    return sort_bounded(kept.select(S.PAYMENT, L.payment_name().alias("payment_method"),
+                                    L.percent_label("avg_tip_pct").alias("tip_label")),
+                        asc=[S.PAYMENT])
+
+
+def scaling_feed(slices: DataFrame) -> DataFrame:
+    """Rows per step of the scaling study: for the chart in millions, for the table as text."""
+    per_step = slices.groupBy("k").agg(F.sum("trips").alias("rows"), F.count(F.lit(1)).alias("places"))
+    return sort_bounded(per_step.select(
+        F.col("k").alias("Step"), F.col("rows").alias("Rows"),
+        L.millions("rows").alias("Rows (millions)"), L.report_count("rows").alias("Rows text"),
+        F.col("places").alias("Places")), asc=["Step"])
+
+
+def formatted_borough_table(borough_report: DataFrame, min_trips: int | None = None,
+                            of_mean: float | None = None) -> DataFrame:
     """Borough table as text: counts with separators, money 2 dp or 0 dp ≥ 1M."""
-    kept = borough_report.filter(F.col("trips") > F.lit(min_trips))
+    kept = _above(borough_report, min_trips, of_mean)
     return sort_bounded(kept.select(
         S.BOROUGH,
         L.report_count("trips").alias("trips_text"),

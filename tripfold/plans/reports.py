@@ -16,27 +16,28 @@ from pyspark.sql import functions as F
 
 from tripfold import schema as S
 from tripfold.functions import derive as D
-from tripfold.functions.rules import Rule, apply_rules, bench_rules, strict_rules
+from tripfold.functions.rules import Rule, apply_rules, bench_rules
 from tripfold.operators.join import left_join_dimension
 from tripfold.operators.partials import measures, mean, merge, money
 from tripfold.operators.topk import sort_bounded, top_k
 
 
-def clean_trips(trips: DataFrame, rules: list[Rule] | None = None,
-                period: str | Column | None = None) -> DataFrame:
-    """Rule filter (default: the strict set) + hour, trip_minutes, tip_pct, period."""
-    kept = apply_rules(trips, strict_rules() if rules is None else rules)
-    return D.derive(kept, D.PERIOD_DAY_SQL if period is None else period)
+def clean_trips(trips: DataFrame, rules: list[Rule],
+                period: str | Column | None = D.PERIOD_DAY_SQL) -> DataFrame:
+    """Rule filter + hour, trip_minutes, tip_pct and (unless ``None``) the period."""
+    return D.derive(apply_rules(trips, rules), period)
 
 
 # ---------------------------------------------------------------- by hour
-def hour_report(src: DataFrame, from_partials: bool = False) -> DataFrame:
+def hour_report(src: DataFrame, from_partials: bool = False, ordered: bool = True) -> DataFrame:
+    """``ordered=False`` leaves the order to a view that sorts (or aggregates) again."""
     m = measures(src, [S.HOUR], from_partials)
-    return sort_bounded(m.select(
+    report = m.select(
         S.HOUR, "trips",
         mean("sum_distance").alias("avg_distance_mi"),
         mean("sum_fare").alias("avg_fare"),
-        mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct")), asc=[S.HOUR])
+        mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct"))
+    return sort_bounded(report, asc=[S.HOUR]) if ordered else report
 
 
 # ------------------------------------------------------------ by place
@@ -69,11 +70,12 @@ def top_zones(src: DataFrame, zones: DataFrame, k: int = 15,
                  desc=["trips"], asc=[S.BOROUGH, S.ZONE])
 
 
-def borough_report(src: DataFrame, zones: DataFrame, from_partials: bool = False) -> DataFrame:
-    return finalise_boroughs(place_measures(src, zones, [S.BOROUGH], from_partials))
+def borough_report(src: DataFrame, zones: DataFrame, from_partials: bool = False,
+                   ordered: bool = True) -> DataFrame:
+    return finalise_boroughs(place_measures(src, zones, [S.BOROUGH], from_partials), ordered)
 
 
-def finalise_boroughs(m: DataFrame) -> DataFrame:
+def finalise_boroughs(m: DataFrame, ordered: bool = True) -> DataFrame:
     """Measures with a Borough key (or finer, then merged) → the borough report."""
     if set(m.columns) & {S.ZONE}:
         m = merge(m, [S.BOROUGH])
@@ -81,15 +83,14 @@ def finalise_boroughs(m: DataFrame) -> DataFrame:
         S.BOROUGH, "trips",
         money("sum_total").alias("total_revenue"),
         mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct"))
-    return sort_bounded(report, desc=["total_revenue"], asc=[S.BOROUGH])
+    return sort_bounded(report, desc=["total_revenue"], asc=[S.BOROUGH]) if ordered else report
 
 
 # ---------------------------------------------------------- by payment
-def payment_report(src: DataFrame, from_partials: bool = False) -> DataFrame:
+def payment_report(src: DataFrame, from_partials: bool = False, ordered: bool = True) -> DataFrame:
     m = measures(src, [S.PAYMENT], from_partials)
-    return sort_bounded(m.select(S.PAYMENT, "trips",
-                                 mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct")),
-                        asc=[S.PAYMENT])
+    report = m.select(S.PAYMENT, "trips", mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct"))
+    return sort_bounded(report, asc=[S.PAYMENT]) if ordered else report
 
 
 # --------------------------------------------------- benchmark report

@@ -1,19 +1,18 @@
-"""Scaling slices and UNION ALL of per-period inputs.
+"""Scaling slices and UNION ALL of separate inputs.
 
 The reference's scaling study re-runs the location query on the first
-1, 3, 6 and 12 monthly files.  Here that is one plan: slice k holds the
-first k calendar periods from ``start``, so the outermost slice is a range
-predicate on the pickup column that reaches the Parquet scan (and prunes
-partitions when the data is stored by period).  Kept rows are
-pre-aggregated once per (period index, place); each pre-aggregated row is
-fanned out to the slice sizes that contain it (``explode`` of at most four
-values, not a join) and summed per (slice, place).  One scan, one small
-shuffle.
+1, 3, 6 and 12 of twelve monthly files.  Here that is one plan over the
+data's own periods: step t of 12 holds the first t/12 of the periods that the
+table has, so the last step is the whole table, whatever its dates.  Kept rows
+are pre-aggregated once per (period, place); each pre-aggregated row is fanned
+out to the steps that contain it (``explode`` of at most four values, not a
+join) and summed per (step, place).  The pre-aggregated rows are written to the
+shared folder, since the list of periods (a scalar subquery) needs them as well,
+so the table is scanned once.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -23,42 +22,44 @@ from pyspark.sql import functions as F
 from tripfold import schema as S
 from tripfold.functions import derive as D
 from tripfold.functions.rules import Rule, apply_rules, bench_rules
+from tripfold.session import scratch_table_path
 
+# Twelfths of the table's periods.
 SLICE_STEPS = (1, 3, 6, 12)
-SLICE_START = "2024-01-01"
+WHOLE = 12
 
 
 def scaled_slices(trips: DataFrame, steps: Sequence[int] = SLICE_STEPS,
-                  start: str = SLICE_START, rules: list[Rule] | None = None,
-                  digits: int | None = 6) -> DataFrame:
-    """(k, place) → trips and mean tip % over the first k days from ``start``."""
+                  rules: list[Rule] | None = None, digits: int | None = 6) -> DataFrame:
+    """(k, place) → trips and mean tip % over the first k/12 of the periods (days).
+
+    Trips without a pickup time belong to the last period.
+    """
     ks = sorted({int(k) for k in steps})
-    lo = dt.datetime.fromisoformat(start)
-    hi = lo + dt.timedelta(days=ks[-1])
-    pickup = F.col(S.PICKUP)
-    in_range = (pickup >= F.lit(lo).cast("timestamp_ntz")) & (pickup < F.lit(hi).cast("timestamp_ntz"))
-    kept = apply_rules(trips.filter(in_range), bench_rules() if rules is None else rules).select(
-        F.datediff(D.period_day(), F.lit(lo.date())).alias("period_index"),
-        S.LOCATION, D.tip_pct_unguarded().alias(S.TIP_PCT))
-    per_period = kept.groupBy("period_index", S.LOCATION).agg(
+    kept = apply_rules(trips, bench_rules() if rules is None else rules).select(
+        D.period_day().alias(S.PERIOD), S.LOCATION, D.tip_pct_unguarded().alias(S.TIP_PCT))
+    per_period = kept.groupBy(S.PERIOD, S.LOCATION).agg(
         F.count(F.lit(1)).alias("trips"), F.sum(S.TIP_PCT).alias("sum_tip_pct"),
         F.count(S.TIP_PCT).alias("n_tip_pct"))
+    path = scratch_table_path(trips.sparkSession, "per-period")
+    per_period.write.parquet(path)
+    per_period = trips.sparkSession.read.schema(per_period.schema).parquet(path)
+    # the distinct periods, in order (a few thousand days at most), as a scalar subquery
+    periods = per_period.agg(F.sort_array(F.collect_set(S.PERIOD)).alias("periods")).scalar()
+    placed = per_period.withColumn("periods", periods).select(
+        S.LOCATION, "trips", "sum_tip_pct", "n_tip_pct",
+        F.coalesce(F.array_position("periods", F.col(S.PERIOD)), F.size("periods")).alias("nth"),
+        F.size("periods").alias("n"))
     arr = F.array(*[F.lit(k) for k in ks])
-    fanned = per_period.withColumn(
-        "k", F.explode(F.filter(arr, lambda k: k > F.col("period_index"))))
+    # period nth of n lies in step k of 12 if nth <= ceil(n * k / 12)
+    inside = F.filter(arr, lambda k: (F.col("nth") - 1) * WHOLE < F.col("n") * k)
+    fanned = placed.withColumn("k", F.explode(inside))
     avg = F.try_divide(F.sum("sum_tip_pct"), F.sum("n_tip_pct"))
     return fanned.groupBy("k", S.LOCATION).agg(
         F.sum("trips").alias("trips"),
         (F.round(avg, digits) if digits is not None else avg).alias("avg_tip"))
 
 
-def slice_rows(trips: DataFrame, steps: Sequence[int] = SLICE_STEPS,
-               start: str = SLICE_START, rules: list[Rule] | None = None) -> DataFrame:
-    """(k, rows): kept rows in the first k periods (the benchmark's row count)."""
-    s = scaled_slices(trips, steps, start, rules, digits=None)
-    return s.groupBy("k").agg(F.sum("trips").alias("rows"))
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by column name (per-file frames, per-period partials)."""
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -68,10 +69,10 @@ def day_slices(trips: DataFrame, bounds: Sequence[str]) -> list[DataFrame]:
     """Split by pickup date at ``bounds`` into disjoint half-open slices.
 
     Each slice carries its own range predicate on the pickup column, which
-    reaches the Parquet scan: when the files are stored by period (or
-    sorted by pickup) each slice reads only its own files and row groups.
-    Rows without a pickup time go to the first slice, so the slices' union
-    is the whole input.
+    reaches the Parquet scan: files stored by period are read by one slice
+    each.  (Over one unpartitioned file every slice scans it, so union
+    separate files or partials instead.)  Rows without a pickup time go to the
+    first slice, so the slices' union is the whole input.
     """
     edges = [None, *bounds, None]
     out = []

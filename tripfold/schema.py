@@ -1,8 +1,9 @@
 """Explicit schemas for the trip fact and the place dimension.
 
 Monthly trip files drift in type from release to release (int vs bigint,
-timestamp with or without zone).  Reading under one explicit schema makes
-every file agree or fail loudly instead of silently widening a column.
+timestamp with or without zone).  Reading under one explicit schema gives every
+file the same columns: narrower numbers are read as the schema's type, and a
+type that cannot be (a string for a number) fails the scan.
 """
 
 from __future__ import annotations
@@ -46,17 +47,6 @@ TRIPS = T.StructType(
     ]
 )
 
-# Zone lookup CSV: header row, id unquoted, text fields quoted, CRLF.
-# `service_zone` is part of the file but never used.
-ZONES_CSV = T.StructType(
-    [
-        T.StructField("LocationID", T.IntegerType(), True),
-        T.StructField(BOROUGH, T.StringType(), True),
-        T.StructField(ZONE, T.StringType(), True),
-        T.StructField("service_zone", T.StringType(), True),
-    ]
-)
-
 # The dimension as the library uses it: keyed by the fact's column name.
 ZONES = T.StructType(
     [

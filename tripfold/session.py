@@ -7,7 +7,6 @@ from the session and never overridden.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,16 +46,14 @@ def build_session(app_name: str = "tripfold", master: str | None = None,
     for key, value in {**STATIC_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    sc = spark.sparkContext
-    configured = sc.getConf()
     defaults = dict(CLUSTER_DEFAULTS)
-    if sc.master.startswith("local"):
+    if spark.sparkContext.master.startswith("local"):
         # one JVM: as many shuffle partitions as cores
-        defaults["spark.sql.shuffle.partitions"] = str(sc.defaultParallelism)
+        defaults["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
+    already = spark.conf.getAll  # set at launch or at run time
     for key, value in defaults.items():
-        if key not in (conf or {}) and not configured.contains(key):
+        if key not in already:
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -64,8 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/…)
-    and is used as is.  Only when nothing is configured (local tests) is a
-    scratch folder created.
+    and is used as is; without it a cluster job is refused.  Only on a local
+    master, where all executors share the machine, is a scratch folder made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tripfold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -88,8 +87,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique table location under the shared folder."""
     return shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else os.fspath(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfold import schema as S
-from tripfold.operators.partials import PARTIAL_KEYS
+from tripfold.operators.partials import PARTIAL_KEYS, merge
 
 PARTIALS_SCHEMA = T.StructType([
     T.StructField(S.HOUR, T.IntegerType(), True),
@@ -28,11 +28,13 @@ PARTIALS_SCHEMA = T.StructType([
 def write_report_csv(report: DataFrame, path: str) -> None:
     """A finished report → one CSV file with header (overwrite).
 
-    Reports are bounded by their key domain, so one output file is right;
-    ``coalesce(1)`` keeps the order of a sorted report.  ``N/A`` values
-    are written as text and NULL as an empty field.
+    Reports are bounded by their key domain, so one output file is right.
+    The rows are gathered by an exchange (``repartition(1)`` keeps a sorted
+    report's single partition as it is), so the stage above still runs in
+    parallel.  ``N/A`` values are written as text and NULL as an empty field.
     """
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    one = report if report.rdd.getNumPartitions() == 1 else report.repartition(1)
+    one.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_metrics(spark: SparkSession, path: str, **fields) -> DataFrame:
@@ -43,45 +45,48 @@ def write_metrics(spark: SparkSession, path: str, **fields) -> DataFrame:
     return df
 
 
+BATCH = "batch"
+STORE_SCHEMA = T.StructType([*PARTIALS_SCHEMA.fields, T.StructField(BATCH, T.StringType(), True)])
+
+
 class PartialsStore:
-    """Partial aggregates stored as Parquet, partitioned by period.
-
-    ``write`` replaces only the periods present in its input (dynamic
-    partition overwrite), so re-running one period is idempotent and never
-    touches the others; ``append`` adds more partial rows (merging is a
-    sum, so appended increments for one key are still correct); ``read``
-    returns the table under an explicit schema, and a filter on ``period``
-    prunes partitions.
+    """Partial aggregates as Parquet in ``batch=<name>/period=<date>/``.
+
+    A batch is a set of trips: one run of the analysis, one period, or one
+    micro-batch of the ingest.  Writing a batch replaces all of it, so a
+    repeated run leaves nothing stale, and batches never touch each other.
+    Readers sum over batches; filters on ``batch`` and ``period`` prune
+    folders.  The same trips must not be written under two batch names.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
 
-    @staticmethod
-    def _layout(partials: DataFrame) -> DataFrame:
+    def write(self, partials: DataFrame, batch: str) -> None:
         cols = [f.name for f in PARTIALS_SCHEMA.fields]
         # One task – and so one file – per period: partials per period are
         # key-bounded (hours × places × payment codes).
-        return partials.select(*cols).repartition(S.PERIOD)
+        (partials.select(*cols).repartition(S.PERIOD).write.mode("overwrite")
+         .partitionBy(S.PERIOD).parquet(f"{self.path}/{BATCH}={batch}"))
 
-    def write(self, partials: DataFrame) -> None:
-        (self._layout(partials).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(S.PERIOD).parquet(self.path))
+    def write_rejects(self, rejects: DataFrame, batch: str) -> None:
+        """Per-rule reject counts of a batch, beside the partials."""
+        rejects.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_rejects/{BATCH}={batch}")
 
-    def append(self, partials: DataFrame) -> None:
-        self._layout(partials).write.mode("append").partitionBy(S.PERIOD).parquet(self.path)
+    def read(self, batch: str | None = None) -> DataFrame:
+        rows = self.spark.read.schema(STORE_SCHEMA).parquet(self.path)
+        return rows if batch is None else rows.where(F.col(BATCH) == batch)
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(PARTIALS_SCHEMA).parquet(self.path)
+    def rejects(self) -> DataFrame:
+        return (self.spark.read.schema(f"rule_order int, rule string, rejected bigint, {BATCH} string")
+                .parquet(f"{self.path}/_rejects"))
 
     def periods(self, start: str, end: str) -> DataFrame:
         """Partials for ``start <= period < end`` (partition-pruned)."""
         p = F.col(S.PERIOD)
         return self.read().filter((p >= F.lit(start).cast("date")) & (p < F.lit(end).cast("date")))
 
-    def compact(self) -> DataFrame:
-        """Merged view: one row per full key, however many increments exist."""
-        from tripfold.operators.partials import merge
+    def merged(self) -> DataFrame:
+        """One row per full key, summed over all batches."""
         return merge(self.read(), PARTIAL_KEYS)

@@ -105,6 +105,29 @@ def trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trips_from_lineitem_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`lineitem` as trips that break every cleaning rule somewhere.
+
+    As ``trips_from_lineitem``, but fare = l_extendedprice less 1000 per unit
+    (often negative); total = fare less 5000 × l_discount × l_quantity (so some
+    have a positive fare and no positive total); no pickup time where the
+    return flag is R and the line number 7.
+    """
+    fare = "(l_extendedprice - 1000.0D * l_quantity)"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"l_orderkey * 8 + l_linenumber AS {LINEITEM_TRIP_ID}",
+        f"CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN NULL ELSE l_shipdate END AS {S.PICKUP}",
+        f"l_shipdate AS {S.DROPOFF}",
+        f"CAST(l_linenumber - 1 AS BIGINT) AS {S.PASSENGERS}",
+        f"l_quantity - 1 AS {S.DISTANCE}",
+        f"CAST(l_suppkey AS INT) AS {S.LOCATION}",
+        f"{_code_map_sql('l_returnflag', RETURNFLAG_PAYMENT_CODES)} AS {S.PAYMENT}",
+        f"{fare} AS {S.FARE}",
+        f"l_extendedprice * l_tax AS {S.TIP}",
+        f"{fare} - 5000.0D * l_discount * l_quantity AS {S.TOTAL}",
+    )
+
+
 def zones_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """supplier ⋈ nation ⋈ region as a place dimension keyed by supplier.
 

@@ -7,13 +7,13 @@ a Structured Streaming query over the folder the trip files land in:
 * the file source picks up only files it has not seen (tracked in the
   query checkpoint), optionally a bounded number per micro-batch;
 * each micro-batch is cleaned and reduced to partials (``foreachBatch``),
-  a key-bounded table;
-* the batch's partials are written to their own folder
-  ``batch_id=<n>/period=<d>/`` with overwrite, so a retried batch replaces
-  its own output instead of appending twice – the write is idempotent and
-  the store stays exactly-once across executor or driver loss;
-* readers merge all batches by key (partials are sums), with partition
-  pruning on ``period``.
+  a key-bounded table, and written to its own ``batch=<n>`` of the
+  ``PartialsStore`` with overwrite, so a retried batch replaces its own
+  output; its reject count per rule is written beside it;
+* the checkpoint belongs to the store (``<store>/_checkpoint`` unless one is
+  named), so every run that writes to a store goes on where the last one
+  ended, and batch numbers are never given twice;
+* readers sum over batches, with pruning on ``period``.
 
 ``trigger(availableNow=True)`` processes the backlog and stops, which is
 how a nightly/monthly catch-up runs; a processing-time trigger keeps it
@@ -24,48 +24,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripfold import schema as S
-from tripfold.functions.rules import Rule
-from tripfold.operators.partials import PARTIAL_KEYS, merge, partial_aggregate
+from tripfold.functions import derive as D
+from tripfold.functions.rules import Rule, reject_counts
+from tripfold.operators.partials import partial_aggregate
 from tripfold.plans.reports import clean_trips
-from tripfold.session import shared_path
-from tripfold.sinks import PARTIALS_SCHEMA
+from tripfold.sinks import BATCH, PartialsStore
 
-BATCH = "batch_id"
-
-STORE_SCHEMA = T.StructType(PARTIALS_SCHEMA.fields + [T.StructField(BATCH, T.LongType(), True)])
-
-
-def _writer(store_path: str, rules: list[Rule] | None):
-    cols = [f.name for f in PARTIALS_SCHEMA.fields]
 
+def _writer(store_path: str, rules: list[Rule], period: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        parts = partial_aggregate(clean_trips(batch, rules)).select(*cols)
-        (parts.repartition(S.PERIOD).write.mode("overwrite")
-         .partitionBy(S.PERIOD).parquet(f"{store_path.rstrip('/')}/{BATCH}={batch_id}"))
+        store = PartialsStore(batch.sparkSession, store_path)
+        store.write_rejects(reject_counts(batch, rules), str(batch_id))
+        store.write(partial_aggregate(clean_trips(batch, rules, period)), str(batch_id))
 
     return write_batch
 
 
-def start(spark: SparkSession, source_dir: str, store_path: str,
-          checkpoint: str | None = None, rules: list[Rule] | None = None,
+def start(spark: SparkSession, source_dir: str, store_path: str, rules: list[Rule],
+          checkpoint: str | None = None, period: str = D.PERIOD_MONTH_SQL,
           max_files_per_trigger: int | None = None,
           available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the ingest query; returns the running ``StreamingQuery``.
 
-    ``checkpoint`` defaults to a folder under the session's shared
-    checkpoint directory.
+    ``rules`` decide what is kept (``strict_rules(None)`` keeps every year).
+    ``checkpoint`` defaults to a folder inside the store.
     """
     reader = spark.readStream.schema(S.TRIPS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.parquet(source_dir)
-    writer = (stream.writeStream.foreachBatch(_writer(store_path, rules))
-              .option("checkpointLocation",
-                      checkpoint or shared_path(spark, "streams", "incremental-partials")))
+    writer = (stream.writeStream.foreachBatch(_writer(store_path, rules, period))
+              .option("checkpointLocation", checkpoint or f"{store_path.rstrip('/')}/_checkpoint"))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -73,17 +65,7 @@ def start(spark: SparkSession, source_dir: str, store_path: str,
     return writer.start()
 
 
-def read_store(spark: SparkSession, store_path: str) -> DataFrame:
-    """All batches' partials (one row per batch and key)."""
-    return spark.read.schema(STORE_SCHEMA).parquet(store_path)
-
-
-def merged_partials(spark: SparkSession, store_path: str) -> DataFrame:
-    """One partial row per key, summed over every batch."""
-    return merge(read_store(spark, store_path), PARTIAL_KEYS)
-
-
 def batches(spark: SparkSession, store_path: str) -> DataFrame:
     """Which batches wrote how many partial rows and trips."""
-    return read_store(spark, store_path).groupBy(BATCH).agg(
+    return PartialsStore(spark, store_path).read().groupBy(BATCH).agg(
         F.count(F.lit(1)).alias("partial_rows"), F.sum("trips").alias("trips"))
