@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, quality_rules, url_filter, warc
 from tripfold.llm.shared import table
 
@@ -56,6 +57,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op3_licence_scan": op3_licence_scan,
     "op6_line_winnowing_dedup": op6_line_winnowing_dedup,
     "op2_parity_sketch_join": op2_parity_sketch_join,
@@ -74,3 +76,5 @@ LLM_SQL = {
     "op4_host_quality_rules": quality_rules.SQL,
     "op9_winnowing_decontamination": decontaminate.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

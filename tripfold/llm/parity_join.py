@@ -299,6 +299,30 @@ class Join:
         return out.select("id", "code", F.col("n").alias("n_shingles"), "component_id", "label").unionAll(alone)
 
 
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays (null ids
+    last, then the smallest hash of the text; one of repeated rows). Documents without shingles stay."""
+    found = stored(Join(docs, doc_id, text).classes().where("n_shingles > 0"), "classes")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "code")
+    lead = found.groupBy("label").agg(F.min(place).alias("lead"))
+    beside = salted_join(found.withColumn("place", place), lead, "label", SALTS).where("NOT place <=> lead").select("id", "code").distinct()
+    again = found.groupBy("id", "code").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("id", "code")
+    row, code = fresh(docs, "row", "code")
+    rows = docs.select(F.struct(*docs.columns).alias(row), F.xxhash64(text).alias(code))
+
+    def without(left: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        side = ids.select(F.col("id").alias("_id"), F.col("code").alias("_code"))
+        side = stored(side, "ids")
+        side = F.broadcast(side) if side.count() <= MOST_IDS else side
+        return left.join(side, F.col(f"{row}.{doc_id}").eqNullSafe(F.col("_id")) & (F.col(code) == F.col("_code")), how)
+
+    kept = without(rows, beside, "left_anti")
+    if not again.isEmpty():
+        once = without(kept, again, "left_semi").withColumn("_key", F.col(f"{row}.{doc_id}")).dropDuplicates(["_key", code]).drop("_key")
+        kept = without(kept, again, "left_anti").unionAll(once)
+    return kept.select(f"{row}.*")
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
