@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zipfile
@@ -81,9 +80,3 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         used.add(name.lower())
         out.append(name)
     return out
-
-
-def local_path(path: str) -> str | None:
-    """``path`` as a path of this machine, where it is one."""
-    path = path.removeprefix("file://")
-    return path if os.path.exists(path) else None
