@@ -1,4 +1,4 @@
-"""Hand-made trap fixture: one trip per rule violation or edge case."""
+"""Hand-made trap fixture: one trip per rule violation or edge case; table folders."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ import datetime as dt
 
 from tripfold import schema as S
 
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
 NAN = float("nan")
 T = dt.datetime
 

@@ -13,7 +13,7 @@ from tripfold.plans import reports as Q
 from tripfold.plans import scaling as SC
 from tripfold.sources import adapters as A
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql
-from conftest import SF_MID
+from fixtures import SF_MID
 from tripfold.plans.catalog import QUERIES
 
 TABLES = ["region", "nation", "supplier", "lineitem", "events"]

@@ -10,7 +10,7 @@ from tripfold.plans.pipeline import run_pipeline, store_reports
 from tripfold.sinks import PartialsStore
 from tripfold.sources import adapters as A
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 RULES = strict_rules(2024)
 

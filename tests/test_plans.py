@@ -1,7 +1,7 @@
 """Physical-plan checks: pushdown, pruning, broadcast, top-k, no needless join."""
 
 from __spark_entry__ import queries
-from conftest import SF_MID
+from fixtures import SF_MID
 
 
 def plan(spark, name):

@@ -11,7 +11,7 @@ from tripfold.sinks import PartialsStore
 from tripfold.sources import adapters as A
 from tripfold.streaming import incremental as INC
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 RULES = strict_rules(None)
 
