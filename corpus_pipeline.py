@@ -20,7 +20,7 @@ from tripfold.llm.shared import stored, table
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that the classifier rejects go. It is fitted on ``docs`` itself and the labels."""
     model = classifier.trained(docs, table(spark, sf_dir, "labels"))
-    return classifier.scored(docs, model, docs.columns).where(F.col("score") >= classifier.THRESHOLD).select("doc.*")
+    return classifier.accepted(docs, model)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,5 +189,16 @@ def scored(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -
     return statistics(docs, keep, text).select("doc", score_column(model).alias("score"))
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score ``threshold`` or more.
+
+    A plain filter on the score would be pushed below the projections, with every statistic written out wherever a
+    rule names it, and each text would be searched hundreds of times. A filter is not pushed below a projection that
+    numbers its rows, so the score is computed once.
+    """
+    rows = scored(docs, model, docs.columns, text).withColumn("number", F.monotonically_increasing_id())
+    return rows.where((F.col("score") >= threshold) & (F.col("number") >= 0)).select("doc.*")
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
