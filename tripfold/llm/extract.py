@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -96,6 +97,7 @@ def lines(page: str) -> list[Line]:
     out: list[Line] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, drops its content, is the article
+    opened: Counter[str] = Counter()
     drops = articles = links = linked = 0
 
     def flush() -> None:
@@ -117,6 +119,7 @@ def lines(page: str) -> list[Line]:
     def pop() -> None:
         nonlocal drops, articles, links
         tag, drop, article = stack.pop()
+        opened[tag] -= 1
         drops -= drop
         links -= tag == "a"
         if article:
@@ -140,7 +143,7 @@ def lines(page: str) -> list[Line]:
         if tag in BLOCKS:
             flush()
         if m[1]:
-            if any(t == tag for t, _, _ in stack):
+            if opened[tag]:
                 while stack:
                     last = stack[-1][0]
                     pop()
@@ -165,6 +168,7 @@ def lines(page: str) -> list[Line]:
             continue
         article = not drop and not drops and (tag in ("article", "main") or 'role="main"' in m[3].lower())
         stack.append((tag, drop, article))
+        opened[tag] += 1
         drops += drop
         articles += article
         links += tag == "a"
