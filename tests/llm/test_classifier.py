@@ -44,6 +44,15 @@ def test_compiled_column_equals_the_rules(labelled):
     assert np.allclose([r.score for r in stats], 1 / (1 + np.exp(-z)))
 
 
+def test_accepted_documents_are_those_that_score_enough(labelled):
+    docs, labels, _ = labelled
+    model = classifier.trained(docs, labels)
+    scores = classifier.digest(classifier.scored(docs, model, ["doc_id"])).collect()
+    kept = classifier.accepted(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((r.doc_id for r in scores if r.predicted), key=repr)
+
+
 def test_held_out_labels_and_other_columns_do_not_matter(labelled, spark):
     docs, labels, _ = labelled
     flipped = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality")

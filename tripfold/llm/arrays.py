@@ -104,8 +104,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
 
 def words(texts: Texts, fold: np.ndarray) -> Words:
     data, offsets = texts.data, texts.offsets
-    folded = fold[data]
-    inside = folded != 0
+    inside = (fold != 0)[data]
     n = len(data)
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
@@ -114,9 +113,10 @@ def words(texts: Texts, fold: np.ndarray) -> Words:
     after[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    row = np.searchsorted(offsets, start, side="right") - 1
     bounds = np.searchsorted(start, offsets)
-    value = _BYTE[(folded & 255).astype(np.uint8)] * powers(_BASE, n)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
+    value = _BYTE[fold & 255][data]
+    value *= powers(_BASE, n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(value, out=total[1:])
     h = (total[end] - total[start]) * powers(_INVERSE, n + 1)[start]

@@ -59,8 +59,8 @@ class Units:
             return
         new = np.zeros(n, bool)
         new[w.bounds[:-1][w.bounds[:-1] < w.bounds[1:]]] = True
-        breaks = np.concatenate(([0], np.cumsum(data == 10)))
-        new[1:] |= breaks[w.start[1:]] > breaks[w.end[:-1]]
+        after = np.searchsorted(w.start, np.flatnonzero(data == 10))  # the first word after each line break
+        new[after[after < n]] = True
         last = data[w.end - 1]
         new[1:] |= (last[:-1] == 46) | (last[:-1] == 33) | (last[:-1] == 63)
         first = data[w.start]
@@ -111,7 +111,7 @@ def _lists(start: np.ndarray, size: np.ndarray, step: int, values: np.ndarray) -
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[np.repeat(start, size) + step * nth], pa.int64()))
 
 
-def _fingerprint_rows(gram: int, reach: int):
+def _fingerprint_rows(gram: int, reach: int, context: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in A.slices(batch.column("text")):
@@ -119,15 +119,18 @@ def _fingerprint_rows(gram: int, reach: int):
                 first, stop, value, (low, high) = fingerprints(units, gram, reach)
                 if not len(first):
                     continue
+                row = np.searchsorted(units.bounds, first, side="right") - 1
+                at = pa.array(part.first + row, pa.int64())
+                place = [pa.array(value.view(np.int64), pa.int64()), batch.column("id").take(at), batch.column("code").take(at), pa.array(first - low, pa.int32())]
+                if not context:
+                    yield pa.RecordBatch.from_arrays(place, names=["hash", "id", "code", "pos"])
+                    continue
                 every = np.arange(len(units.words))
                 own = units.hash(every, every + 1).view(np.int64)
-                row = np.searchsorted(units.bounds, first, side="right") - 1
                 left = np.maximum(low, np.searchsorted(units.total, units.total[first] - reach, side="right") - 1)
                 right = np.minimum(high, np.searchsorted(units.total, units.total[stop] + reach))
-                at = pa.array(part.first + row, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64), pa.int64()), batch.column("id").take(at), batch.column("code").take(at), pa.array(first - low, pa.int32()), pa.array(stop - low, pa.int32()),
-                     _lists(first - 1, first - left, -1, own), _lists(stop, right - stop, 1, own)], names=["hash", "id", "code", "pos", "stop", "left", "right"])
+                yield pa.RecordBatch.from_arrays([*place, pa.array(stop - low, pa.int32()), _lists(first - 1, first - left, -1, own), _lists(stop, right - stop, 1, own)],
+                                                 names=["hash", "id", "code", "pos", "stop", "left", "right"])
     return run
 
 
@@ -176,9 +179,11 @@ def repeated_ranges(docs: DataFrame, gram: int = GRAM, reach: int = REACH) -> Da
     """id, code, ranges (unit ranges of repeated runs) for documents that have any. ``docs``: id, code, text."""
     prepare(docs.sparkSession)
     kind = docs.schema["id"].dataType.simpleString()
-    prints = docs.mapInArrow(_fingerprint_rows(gram, reach), f"hash long, id {kind}, code long, pos int, stop int, left array<long>, right array<long>")
-    places = prints.select("hash", F.struct("id", "code", "pos").alias("place"))
+    place = f"hash long, id {kind}, code long, pos int"
+    prints = docs.mapInArrow(_fingerprint_rows(gram, reach, True), f"{place}, stop int, left array<long>, right array<long>")
+    places = docs.mapInArrow(_fingerprint_rows(gram, reach, False), place).select("hash", F.struct("id", "code", "pos").alias("place"))
     first = places.groupBy("hash").agg(F.min("place").alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "f")
+    first = stored(first, "first-places")  # read anew, the join has shuffles of its own, so Spark can split a hot hash
     shared = stored(prints.join(first, "hash").withColumn("is_first", F.expr("id <=> f.id AND code <=> f.code AND pos <=> f.pos")).drop("f"), "shared")
     firsts = shared.where("is_first").dropDuplicates(["hash"]).select("hash", F.struct("left", "right").alias("f"))
     found = shared.where("NOT is_first").join(firsts, "hash")
