@@ -19,11 +19,11 @@ class DimensionKeyError(ValueError):
 
 def check_unique(dim: DataFrame, key: str) -> None:
     """Raise ``DimensionKeyError`` if a key has two rows (NULL keys never match and may repeat)."""
-    twice = (dim.where(F.col(key).isNotNull()).groupBy(key).count()
-             .where("count > 1").limit(1).collect())
-    if twice:
-        raise DimensionKeyError(f"dimension key {key!r} is not unique: {twice[0][key]!r} has "
-                                f"{twice[0]['count']} rows")
+    keyed = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    most = keyed.agg(F.max(F.struct("n", key)).alias("most")).first()["most"]  # one job, one row
+    if most is not None and most["n"] > 1:
+        raise DimensionKeyError(f"dimension key {key!r} is not unique: {most[key]!r} has "
+                                f"{most['n']} rows")
 
 
 def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
