@@ -185,7 +185,7 @@ def repeated_ranges(docs: DataFrame, gram: int = GRAM, reach: int = REACH) -> Da
     first = places.groupBy("hash").agg(F.min("place").alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "f")
     first = stored(first, "first-places")  # read anew, the join has shuffles of its own, so Spark can split a hot hash
     shared = stored(prints.join(first, "hash").withColumn("is_first", F.expr("id <=> f.id AND code <=> f.code AND pos <=> f.pos")).drop("f"), "shared")
-    firsts = shared.where("is_first").dropDuplicates(["hash"]).select("hash", F.struct("left", "right").alias("f"))
+    firsts = stored(shared.where("is_first").dropDuplicates(["hash"]).select("hash", F.struct("left", "right").alias("f")), "firsts")
     found = shared.where("NOT is_first").join(firsts, "hash")
     alike = lambda side: (  # noqa: E731  units that agree from the gram outwards
         f"(CASE array_position(zip_with({side}, f.{side}, (x, y) -> x <=> y AND x IS NOT NULL), false) WHEN 0 THEN size({side}) ELSE "
