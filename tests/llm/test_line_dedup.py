@@ -86,3 +86,44 @@ def test_line_breaks():
     assert line_dedup.without(f"First line\n{run}\nLast line", [(1, 2)])[0] == "First line\nLast line"
     assert line_dedup.without(f"{run}\nNext.", [(0, 1)])[0] == "Next."
     assert line_dedup.without(f"Start. {run}", [(1, 2)])[0] == "Start."
+
+
+def repeated_words(texts):
+    """Words that lie in a run of ``PASSAGE`` words that stands earlier, and words in one of ``REACH`` words, by text."""
+    out = []
+    for least in (line_dedup.PASSAGE, line_dedup.REACH):
+        seen, gone = {}, []
+        for d, text in enumerate(texts):
+            w, own = [lower(x) for x in text.split()], set()
+            for i in range(len(w) - least + 1):
+                e, j = seen.setdefault(tuple(w[i : i + least]), (d, i))
+                if (e, j) != (d, i):
+                    own |= set(range(i if e < d else max(i, j + least), i + least))
+            gone.append(own)
+        out.append(gone)
+    return out
+
+
+def test_fifty_words_anywhere_go_to_the_word(spark):
+    rng = random.Random(11)
+    make = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))  # noqa: E731  no unit ends: one unit a text
+    passages = [make(n) for n in (49, 50, 51, 70, 120)]
+    texts = [f"{make(rng.randrange(40))} {rng.choice(passages)} {make(rng.randrange(40))}" for _ in range(60)]
+    # a passage whose edges first stand in different texts, parts of one, edited copies, a text of one word, a short text
+    long = make(200)
+    texts += [" ".join(long.split()[a:b]) for a, b in ((60, 140), (0, 90), (100, 200), (0, 200), (20, 75))]
+    texts += [" ".join(x if rng.random() < 0.985 else make(1) for x in long.split()) for _ in range(10)] + ["word " * 300, make(5)]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in line_dedup.digest(line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), ["doc_id"])).collect()}
+    sure, may = repeated_words(texts)
+    assert sum(map(bool, sure)) > 50
+    for i, text in rows:
+        w = text.split()
+        least, most = [x for k, x in enumerate(w) if k not in may[i]], [x for k, x in enumerate(w) if k not in sure[i]]
+        left = got[i].text.split()
+        assert len(least) <= len(left) <= len(most), i
+        # what stays has all that is repeated nowhere, and nothing of a repeated passage
+        for small, large in ((least, left), (left, most)):
+            rest = iter(large)
+            assert all(x in rest for x in small), i
+        assert got[i].words_deleted == len(w) - len(left)

@@ -1,25 +1,31 @@
-"""Repeated lines by winnowing over line hashes (operator 6).
-
-Units are lines; a line is cut further at sentence ends and before capitals,
-since a passage may stand inside a line. From every unit on, the shortest run of
-units with ``GRAM`` words is a gram, hashed by its words (A-Z lower-cased,
-white space ignored). Of the grams inside the shortest run of units with
-``REACH`` words, the smallest hash is a fingerprint: two texts that share
-``REACH`` words in whole units share the grams of that run, and so a
-fingerprint.
-
-The first place of a fingerprint (smallest id, then position) is found by a
-partial aggregate. All other places are joined to it and extended both ways
-over the unit hashes that every fingerprint carries (``REACH`` words to either
-side; a run has a fingerprint nearer than that to each end), and the runs are
-deleted. A unit is only deleted if an equal one stands earlier, so one copy
-always stays. Where a run's fingerprints have their first places in different
-texts, a run's ends may stay, less than ``REACH`` words on either side.
+"""Repeated passages by winnowing over word-gram hashes (operator 6).
+
+A window is ``REACH`` words of a text, wherever it starts. It is repeated if the
+same words (A-Z lower-cased, white space ignored) stand at an earlier place
+(smaller id, then position). Repeated windows that touch make a stretch. A
+stretch of ``PASSAGE`` words or more is deleted to the word; of a shorter one
+only the whole units go (units are lines, cut further at sentence ends and
+before capitals), if they have ``GRAM`` words.
+
+To find repeated windows without a row for each: the window's ``CORE``-word gram
+with the smallest hash is its fingerprint, which depends on its words only, so
+equal windows have equal fingerprints. The windows of one gram follow each
+other, and the words that they span are the gram's variant.
+
+1. Only fingerprints that occur twice go on (a partial aggregate and a join).
+2. All places of a variant but its first are repeated as a whole.
+3. Where a fingerprint has several variants (where a passage begins or ends, or
+   its neighbourhood differs), the windows of each variant's first place are
+   hashed one by one, and the first place of each window is found. So there is
+   a first place for each neighbourhood, not one for a fingerprint.
+
+A window that overlaps its own first place (a text that repeats a word) is only
+deleted behind it, so one copy always stays.
 
 Defined cases: null or empty text stays as it is. Rows with the same id and
 text are the same document and are treated alike; rows with the same id and
 other texts are ordered by a hash of the text. A null id comes first. Runs that
-repeat inside a text are deleted, too. A line that loses all its units goes
+repeat inside a text are deleted, too. A line that loses all its words goes
 with its line break; otherwise line breaks stay. An empty table gives an empty
 result. Other columns are carried in ``doc``.
 """
@@ -39,6 +45,9 @@ from tripfold.llm.shared import prepare, stored
 
 GRAM = 20
 REACH = 30
+#: Words of a fingerprint, and words of a stretch that is deleted to the word.
+CORE = 12
+PASSAGE = 50
 _FOLD = A.whitespace_words()
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -46,15 +55,16 @@ U = A.U
 
 
 class Units:
-    """Units of a slice of texts: first byte, hash, words, words before (running), bounds by row, and gram hashes."""
+    """Words and units of a slice of texts: first byte of each word, words of each row, words of each unit and the first, units of each row, and hashes of runs of words."""
 
     def __init__(self, part: A.Texts) -> None:
         data, w = part.data, A.words(part, _FOLD)
         n = len(w.start)
         self.bounds = np.zeros(len(part.offsets), np.int64)
-        self.start = self.words = np.zeros(0, np.int64)
-        self.total = np.zeros(1, np.int64)
-        self._first, self._run = np.zeros(1, np.int64), np.zeros(1, np.uint64)
+        self.start, self.words = w.start, np.zeros(0, np.int64)
+        self.word_bounds = w.bounds
+        self.first, self._run = np.zeros(1, np.int64), np.zeros(1, np.uint64)
+        self.opens = self.closes = np.zeros(0, bool)
         if not n:
             return
         new = np.zeros(n, bool)
@@ -62,147 +72,194 @@ class Units:
         after = np.searchsorted(w.start, np.flatnonzero(data == 10))  # the first word after each line break
         new[after[after < n]] = True
         last = data[w.end - 1]
-        new[1:] |= (last[:-1] == 46) | (last[:-1] == 33) | (last[:-1] == 63)
+        ends = (last == 46) | (last == 33) | (last == 63)
+        new[1:] |= ends[:-1]
         first = data[w.start]
         second = data[np.minimum(w.start + 1, len(data) - 1)]
-        new |= ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+        capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+        new |= capital
         at = np.flatnonzero(new)
-        self._first = np.append(at, n)
+        #: Units that begin or end by their own words, whatever stands beside them.
+        self.opens, self.closes = capital[at], ends[np.append(at[1:], n) - 1]
+        self.first = np.append(at, n)
         # running sums of word hashes times odd powers: any run of words has its hash by a difference, shifted to its first word
         self._run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(w.hash * A.powers(_BASE, n))))
-        self.words = np.diff(self._first)
-        self.start = w.start[at]
+        self.words = np.diff(self.first)
         self.bounds = np.searchsorted(at, w.bounds)
-        self.total = np.concatenate(([0], np.cumsum(self.words)))
 
-    def hash(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """Hashes of the words of units [start, stop)."""
-        a, b = self._first[start], self._first[stop]
+    def hash(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hashes of the words [a, b)."""
         return A.mix((self._run[b] - self._run[a]) * A.powers(_INVERSE, len(self._run))[a] + (b - a).astype(np.uint64))
 
 
-def fingerprints(units: Units, gram: int = GRAM, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First and last unit (exclusive) and hash of the chosen grams, and the row's bounds of each gram as (2, n)."""
-    n = len(units.words)
-    row = np.searchsorted(units.bounds, np.arange(n), side="right") - 1
-    end = units.bounds[row + 1] if n else np.zeros(0, np.int64)
-    stop = np.searchsorted(units.total, units.total[:-1] + gram)
-    whole = stop <= end
-    value = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    at = np.flatnonzero(whole)
-    value[at] = units.hash(at, stop[at])
-    far = np.searchsorted(units.total, units.total[:-1] + reach)
-    window = np.flatnonzero(far <= end)
-    count = np.searchsorted(stop, far[window], side="right") - window
-    best, least = window.copy(), value[window]
-    for d in range(1, int(count.max(initial=0))):
-        more = np.flatnonzero(count > d)
-        other = value[window[more] + d]
-        lower = other < least[more]
-        best[more[lower]], least[more[lower]] = window[more[lower]] + d, other[lower]
-    best = np.unique(best)
-    return best, stop[best], value[best], np.stack((units.bounds[row[best]], end[best])) if n else np.zeros((2, 0), np.int64)
-
-
-def _lists(start: np.ndarray, size: np.ndarray, step: int, values: np.ndarray) -> pa.Array:
-    """Lists of ``values`` at start, start + step, ...; ``size`` of them."""
-    offsets = np.concatenate(([0], np.cumsum(size)))
-    nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[np.repeat(start, size) + step * nth], pa.int64()))
-
-
-def _fingerprint_rows(gram: int, reach: int, context: bool):
+def _least(value: np.ndarray, n: int) -> np.ndarray:
+    """Place of the smallest (the first of equal ones) of each ``n`` values in a row."""
+    at, span = np.arange(len(value)), 1
+    while span < n:
+        step = min(span, n - span)
+        lower = value[step:] < value[:-step]
+        value, at = np.where(lower, value[step:], value[:-step]), np.where(lower, at[step:], at[:-step])
+        span += step
+    return at
+
+
+def fingerprints(units: Units, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first window (counted in the row), windows, hash of the fingerprint and of the variant, for each chosen gram."""
+    n, core = len(units.start), min(CORE, reach)
+    row = np.repeat(np.arange(len(units.word_bounds) - 1), np.diff(units.word_bounds))
+    window = np.flatnonzero(np.arange(n) + reach <= units.word_bounds[row + 1])
+    if not len(window):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+    every = np.arange(n - core + 1)
+    value = units.hash(every, every + core)
+    at = _least(value, reach - core + 1)[window]
+    new = np.flatnonzero(np.diff(at, prepend=-1))  # a gram's windows follow each other
+    size = np.diff(np.append(new, len(at)))
+    start = window[new]
+    return row[start], start - units.word_bounds[row[start]], size, value[at[new]], units.hash(start, start + size - 1 + reach)
+
+
+def _fingerprint_rows(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in A.slices(batch.column("text")):
-                units = Units(part)
-                first, stop, value, (low, high) = fingerprints(units, gram, reach)
-                if not len(first):
-                    continue
-                row = np.searchsorted(units.bounds, first, side="right") - 1
+                row, start, size, core, variant = fingerprints(Units(part), reach)
                 at = pa.array(part.first + row, pa.int64())
-                place = [pa.array(value.view(np.int64), pa.int64()), batch.column("id").take(at), batch.column("code").take(at), pa.array(first - low, pa.int32())]
-                if not context:
-                    yield pa.RecordBatch.from_arrays(place, names=["hash", "id", "code", "pos"])
-                    continue
-                every = np.arange(len(units.words))
-                own = units.hash(every, every + 1).view(np.int64)
-                left = np.maximum(low, np.searchsorted(units.total, units.total[first] - reach, side="right") - 1)
-                right = np.minimum(high, np.searchsorted(units.total, units.total[stop] + reach))
-                yield pa.RecordBatch.from_arrays([*place, pa.array(stop - low, pa.int32()), _lists(first - 1, first - left, -1, own), _lists(stop, right - stop, 1, own)],
-                                                 names=["hash", "id", "code", "pos", "stop", "left", "right"])
+                yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64), pa.int64()), pa.array(variant.view(np.int64), pa.int64()), batch.column("id").take(at), batch.column("code").take(at),
+                                                  pa.array(start, pa.int32()), pa.array(size, pa.int32())], names=["hash", "variant", "id", "code", "pos", "size"])
     return run
 
 
-def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """``text`` without the unit ranges; units and words deleted."""
-    part = next(A.slices(pa.array([text])))
-    units = Units(part)
-    gone = np.zeros(len(units.words), bool)
-    for a, b in ranges:
-        gone[a:b] = True
+def _window_rows(reach: int):
+    """Hashes of the windows of ``spots`` (first window, windows)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spots = batch.column("spots")
+            owner = np.repeat(np.arange(batch.num_rows), spots.value_lengths().to_numpy())
+            flat = spots.flatten()
+            pos, size = (flat.field(k).to_numpy().astype(np.int64) for k in ("pos", "size"))
+            for part in A.slices(batch.column("text")):
+                units = Units(part)
+                use = slice(*np.searchsorted(owner, [part.first, part.first + len(part.offsets) - 1]))
+                each = np.repeat(np.arange(use.start, use.stop), size[use])
+                nth = np.arange(len(each)) - np.repeat(np.cumsum(size[use]) - size[use], size[use])
+                at = pos[each] + nth
+                start = units.word_bounds[owner[each] - part.first] + at
+                rows = pa.array(owner[each], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(units.hash(start, start + reach).view(np.int64), pa.int64()), batch.column("id").take(rows), batch.column("code").take(rows), pa.array(at, pa.int32())],
+                                                 names=["hash", "id", "code", "pos"])
+    return run
+
+
+def _cut(units: Units, data: bytes, gone: np.ndarray) -> str:
+    """The text without the words marked in ``gone``."""
     if not gone.any():
-        return text, 0, 0
-    data = part.data.tobytes()
-    edge = [*units.start.tolist(), len(data)]
+        return data.decode()
+    turn = np.flatnonzero(np.diff(gone, prepend=~gone[0]))  # kept and deleted stretches alternate
+    edge = [*units.start[turn].tolist(), len(data)]
     out = bytearray(data[: edge[0]])
     pending = False
-    for i, drop in enumerate(gone.tolist()):
+    for i, drop in enumerate(gone[turn].tolist()):
         piece = data[edge[i] : edge[i + 1]]
         if drop:
-            pending |= b"\n" in piece
+            pending = b"\n" in piece
         else:
             if pending and out and not out.endswith(b"\n"):
                 out = bytearray(out.rstrip(b" \t\x0b\x0c\r") + b"\n")
-            pending = False
             out += piece
     if gone[-1]:
         out = bytearray(out.rstrip(b" \t\x0b\x0c\r\n"))
-    return out.decode(), int(gone.sum()), int(units.words[gone].sum())
+    return out.decode()
+
+
+def _one(text: str) -> tuple[Units, bytes]:
+    part = next(A.slices(pa.array([text])))
+    return Units(part), part.data.tobytes()
+
 
+def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
+    """``text`` without the unit ranges; units and words deleted."""
+    units, data = _one(text)
+    gone = np.zeros(len(units.start), bool)
+    for a, b in ranges:
+        gone[units.first[a] : units.first[b]] = True
+    return _cut(units, data, gone), len({u for a, b in ranges for u in range(a, b)}), int(gone.sum())
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, units, gone = [], [], []
-        for value, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
-            text = value.as_py()
-            found = ranges.as_py() if text else None
-            text, n, m = without(text, [(r["start"], r["stop"]) for r in found]) if found else (text, 0, 0)
-            texts.append(text)
-            units.append(n)
-            gone.append(m)
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string()), pa.array(units, pa.int64()), pa.array(gone, pa.int64())],
-                                         names=["doc", "text", "units_deleted", "words_deleted"])
 
+def without_repeats(text: str, ranges: list[tuple[int, int]], gram: int = GRAM) -> tuple[str, int, int]:
+    """``text`` without the stretches that the word ranges make; units and words deleted. A unit counts if it stands as one at
+    the earlier place, too: its borders lie in what is repeated."""
+    units, data = _one(text)
+    gone = np.zeros(len(units.start), bool)
+    for a, b in ranges:
+        gone[a:b] = True
+    low, high = units.first[:-1], units.first[1:]
+    beside = np.concatenate(([False], gone, [False]))
+    alike = (beside[low] | units.opens) & (beside[high + 1] | units.closes)
+    turn = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist()
+    for a, b in zip(turn[::2], turn[1::2], strict=True):
+        if b - a < PASSAGE:
+            c, d = units.first[np.searchsorted(units.first, a)], units.first[np.searchsorted(units.first, b, side="right") - 1]
+            gone[a:b] = False
+            if d - c >= gram:
+                gone[c:d] = True
+    whole = np.minimum.reduceat(gone, low) if len(low) else gone
+    return _cut(units, data, gone), int((whole & alike).sum()), int(gone.sum())
 
-def repeated_ranges(docs: DataFrame, gram: int = GRAM, reach: int = REACH) -> DataFrame:
-    """id, code, ranges (unit ranges of repeated runs) for documents that have any. ``docs``: id, code, text."""
+
+def _apply(gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, units, gone = [], [], []
+            for value, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
+                text = value.as_py()
+                found = ranges.as_py() if text else None
+                text, n, m = without_repeats(text, [(r["start"], r["stop"]) for r in found], gram) if found else (text, 0, 0)
+                texts.append(text)
+                units.append(n)
+                gone.append(m)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string()), pa.array(units, pa.int64()), pa.array(gone, pa.int64())],
+                                             names=["doc", "text", "units_deleted", "words_deleted"])
+    return run
+
+
+def _repeats(rows: DataFrame, key: str, reach: int, size: str) -> DataFrame:
+    """id, code, start, stop: all places of ``rows`` but the first of each ``key``, without the words of a first place that they overlap."""
+    first = rows.groupBy(key).agg(F.min(F.struct("id", "code", "pos")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select(key, "f")
+    first = stored(first, "first-places")  # read anew, the join has shuffles of its own, so Spark can split a hot key
+    same = "id <=> f.id AND code <=> f.code"
+    found = rows.join(first, key).where(f"NOT ({same} AND pos <=> f.pos)")
+    return found.select("id", "code", F.expr(f"CASE WHEN {same} THEN greatest(pos, f.pos + {reach}) ELSE pos END").alias("start"), F.expr(f"pos + {size} - 1 + {reach}").alias("stop"))
+
+
+def repeated_ranges(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """id, code, ranges (word ranges of repeated windows) for documents that have any. ``docs``: id, code, text."""
     prepare(docs.sparkSession)
     kind = docs.schema["id"].dataType.simpleString()
-    place = f"hash long, id {kind}, code long, pos int"
-    prints = docs.mapInArrow(_fingerprint_rows(gram, reach, True), f"{place}, stop int, left array<long>, right array<long>")
-    places = docs.mapInArrow(_fingerprint_rows(gram, reach, False), place).select("hash", F.struct("id", "code", "pos").alias("place"))
-    first = places.groupBy("hash").agg(F.min("place").alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "f")
-    first = stored(first, "first-places")  # read anew, the join has shuffles of its own, so Spark can split a hot hash
-    shared = stored(prints.join(first, "hash").withColumn("is_first", F.expr("id <=> f.id AND code <=> f.code AND pos <=> f.pos")).drop("f"), "shared")
-    firsts = stored(shared.where("is_first").dropDuplicates(["hash"]).select("hash", F.struct("left", "right").alias("f")), "firsts")
-    found = shared.where("NOT is_first").join(firsts, "hash")
-    alike = lambda side: (  # noqa: E731  units that agree from the gram outwards
-        f"(CASE array_position(zip_with({side}, f.{side}, (x, y) -> x <=> y AND x IS NOT NULL), false) WHEN 0 THEN size({side}) ELSE "
-        f"array_position(zip_with({side}, f.{side}, (x, y) -> x <=> y AND x IS NOT NULL), false) - 1 END)")
-    spans = found.select("id", "code", F.expr(f"CAST(pos - {alike('left')} AS INT)").alias("start"), F.expr(f"CAST(stop + {alike('right')} AS INT)").alias("stop"))
-    return spans.groupBy("id", "code").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))  # at most a text's fingerprints
+    prints = stored(docs.mapInArrow(_fingerprint_rows(reach), f"hash long, variant long, id {kind}, code long, pos int, size int"), "fingerprints")
+    twice = stored(prints.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "shared-hashes")
+    shared = stored(prints.join(twice, "hash"), "shared")
+    whole = _repeats(shared, "variant", reach, "size")
+
+    variants = stored(shared.groupBy("hash", "variant").agg(F.min(F.struct("id", "code", "pos", "size")).alias("f")), "variants")
+    several = stored(variants.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "several")
+    spots = variants.join(several, "hash").select("f.*").groupBy(F.col("id").alias("_id"), F.col("code").alias("_code")).agg(F.collect_list(F.struct("pos", "size")).alias("spots"))
+    asked = docs.join(spots, F.col("id").eqNullSafe(F.col("_id")) & (F.col("code") == F.col("_code"))).select("id", "code", "text", "spots")
+    windows = stored(asked.mapInArrow(_window_rows(reach), f"hash long, id {kind}, code long, pos int"), "windows")
+    spans = whole.unionAll(_repeats(windows, "hash", reach, "1"))
+    return spans.groupBy("id", "code").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))  # at most a text's windows
 
 
 def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, reach: int = REACH) -> DataFrame:
     """doc (struct of the columns ``keep``), text without later repeated runs, units_deleted, words_deleted."""
     key = [F.col(doc_id).alias("id"), F.xxhash64(text).alias("code")]
-    ranges = stored(repeated_ranges(docs.select(*key, F.col(text).alias("text")), gram, reach), "ranges")
+    ranges = stored(repeated_ranges(docs.select(*key, F.col(text).alias("text")), reach), "ranges")
     side = ranges.select(F.col("id").alias("_id"), F.col("code").alias("_code"), "ranges")
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.col(text).alias("text"), *key)
     joined = rows.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("code") == F.col("_code")), "left").select("doc", "text", "ranges")
     fields = T.StructType([joined.schema["doc"], T.StructField("text", T.StringType()), T.StructField("units_deleted", T.LongType()), T.StructField("words_deleted", T.LongType())])
-    return joined.mapInArrow(_apply, fields)
+    return joined.mapInArrow(_apply(gram), fields)
 
 
 def digest(found: DataFrame) -> DataFrame:
