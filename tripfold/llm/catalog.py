@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, quality_rules, url_filter, warc
+from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, periodic_runs, quality_rules, url_filter, warc
 from tripfold.llm.shared import table
 
 
@@ -56,6 +56,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.packed(packing.tokenized(table(spark, sf_dir, "documents"), ["doc_id"])))
 
 
+def op11_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.digest(periodic_runs.detected(docs, ["doc_id"], places=periodic_runs.looped_places))
+
+
 LLM_QUERIES = {
     "op1_host_word_url_filter": op1_host_word_url_filter,
     "op2_parity_sketch_join": op2_parity_sketch_join,
@@ -67,6 +72,7 @@ LLM_QUERIES = {
     "op8_rule_ensemble_quality": op8_rule_ensemble_quality,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_periodic_run_detection": op11_periodic_run_detection,
     "pipeline": corpus_pipeline.run,
 }
 
