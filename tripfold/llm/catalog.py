@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, periodic_runs, quality_rules, url_filter, warc
+from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, periodic_runs, quality_rules, rank_profiles, url_filter, warc
 from tripfold.llm.shared import table
 
 
@@ -61,6 +61,11 @@ def op11_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.detected(docs, ["doc_id"], places=periodic_runs.looped_places))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rank_profiles.digest(rank_profiles.predicted(docs, rank_profiles.learned(docs), ["doc_id"]))
+
+
 LLM_QUERIES = {
     "op1_host_word_url_filter": op1_host_word_url_filter,
     "op2_parity_sketch_join": op2_parity_sketch_join,
@@ -73,6 +78,7 @@ LLM_QUERIES = {
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_periodic_run_detection": op11_periodic_run_detection,
+    "op12_language_id": op12_language_id,
     "pipeline": corpus_pipeline.run,
 }
 
