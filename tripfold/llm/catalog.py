@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, periodic_runs, quality_rules, rank_profiles, url_filter, warc
+from tripfold.llm import classifier, decontaminate, extract, licences, line_dedup, packing, parity_join, periodic_runs, quality_rules, rank_profiles, spelling, url_filter, warc
 from tripfold.llm.shared import table
 
 
@@ -66,6 +66,10 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_profiles.digest(rank_profiles.predicted(docs, rank_profiles.learned(docs), ["doc_id"]))
 
 
+def op13_spelling_variant_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), slips=97)
+
+
 LLM_QUERIES = {
     "op1_host_word_url_filter": op1_host_word_url_filter,
     "op2_parity_sketch_join": op2_parity_sketch_join,
@@ -79,6 +83,7 @@ LLM_QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_periodic_run_detection": op11_periodic_run_detection,
     "op12_language_id": op12_language_id,
+    "op13_spelling_variant_grouping": op13_spelling_variant_grouping,
     "pipeline": corpus_pipeline.run,
 }
 
