@@ -97,9 +97,9 @@ def enriched_trips(spark, d):
 def partials(spark, d):
     p = partial_aggregate(_clean(spark, d, D.PERIOD_MONTH_SQL))
     return p.select(S.PERIOD, S.HOUR, S.LOCATION, S.PAYMENT, "trips",
-                    F.round("sum_distance", 2).alias("sum_distance"),
+                    money("sum_distance").alias("sum_distance"),
                     money("sum_fare").alias("sum_fare"),
-                    F.round("sum_tip_pct", 4).alias("sum_tip_pct"),
+                    money("sum_tip_pct", 4).alias("sum_tip_pct"),
                     "n_tip_pct",
                     money("sum_total").alias("sum_total"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripfold import schema as S
+from tripfold.functions import exact as E
 from tripfold.functions import labels as L
 from tripfold.operators.partials import measures, mean
 from tripfold.operators.topk import sort_bounded, top_k
@@ -73,13 +74,14 @@ def share_of_total(src: DataFrame, zones: DataFrame, from_partials: bool = False
     or driver round trip is needed.
     """
     m = place_measures(src, zones, [S.BOROUGH], from_partials)
+    m = m.select(S.BOROUGH, "trips", F.expr(f"{E.total('sum_total')} AS total"))
     whole = Window.partitionBy()
     return sort_bounded(m.select(
         S.BOROUGH, "trips",
-        F.round("sum_total", 2).alias("total_revenue"),
+        F.round("total", 2).alias("total_revenue"),
         F.round(F.col("trips") * F.lit(100.0) / F.sum("trips").over(whole), 2)
         .alias("trip_share_pct"),
-        F.round(F.col("sum_total") * F.lit(100.0) / F.sum("sum_total").over(whole), 2)
+        F.round(F.col("total") * F.lit(100.0) / F.sum("total").over(whole), 2)
         .alias("revenue_share_pct")), desc=["total_revenue"], asc=[S.BOROUGH])
 
 
@@ -102,16 +104,14 @@ def blended_vs_card_tip(src: DataFrame, from_partials: bool = False,
                         card_code: int = 1) -> DataFrame:
     """Mean tip % over all trips vs over card trips only (one row)."""
     m = measures(src, [S.PAYMENT], from_partials)
-    card = F.col(S.PAYMENT) == F.lit(card_code)
-    totals = m.agg(
-        F.sum("trips").alias("trips"),
-        F.sum(F.when(card, F.col("trips")).otherwise(0)).alias("card_trips"),
-        F.sum("sum_tip_pct").alias("sum_tip_pct"),
-        F.sum("n_tip_pct").alias("n_tip_pct"),
-        F.sum(F.when(card, F.col("sum_tip_pct"))).alias("card_sum_tip_pct"),
-        F.sum(F.when(card, F.col("n_tip_pct"))).alias("card_n_tip_pct"))
+    card = f"{S.PAYMENT} = {int(card_code)}"
+    totals = m.selectExpr(
+        "sum(trips) AS trips", f"coalesce(sum(trips) FILTER (WHERE {card}), 0L) AS card_trips",
+        f"{E.merged_sum('sum_tip_pct')} AS sum_tip_pct", "sum(n_tip_pct) AS n_tip_pct",
+        f"{E.merged_sum('sum_tip_pct', card)} AS card_sum_tip_pct",
+        f"sum(n_tip_pct) FILTER (WHERE {card}) AS card_n_tip_pct")
     return totals.select(
-        "trips", F.col("card_trips").cast("bigint").alias("card_trips"),
+        "trips", "card_trips",
         mean("sum_tip_pct", "n_tip_pct").alias("blended_tip_pct"),
         mean("card_sum_tip_pct", "card_n_tip_pct").alias("card_tip_pct"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfold import schema as S
+from tripfold.functions.exact import EXACT_SUM
 from tripfold.operators.partials import PARTIAL_KEYS, merge
 
 PARTIALS_SCHEMA = T.StructType([
@@ -16,11 +17,11 @@ PARTIALS_SCHEMA = T.StructType([
     T.StructField(S.LOCATION, T.IntegerType(), True),
     T.StructField(S.PAYMENT, T.LongType(), True),
     T.StructField("trips", T.LongType(), False),
-    T.StructField("sum_distance", T.DoubleType(), True),
-    T.StructField("sum_fare", T.DoubleType(), True),
-    T.StructField("sum_tip_pct", T.DoubleType(), True),
+    T.StructField("sum_distance", EXACT_SUM, True),
+    T.StructField("sum_fare", EXACT_SUM, True),
+    T.StructField("sum_tip_pct", EXACT_SUM, True),
     T.StructField("n_tip_pct", T.LongType(), False),
-    T.StructField("sum_total", T.DoubleType(), True),
+    T.StructField("sum_total", EXACT_SUM, True),
     T.StructField(S.PERIOD, T.DateType(), True),
 ])
 
