@@ -41,8 +41,7 @@ def test_analyze_writes_reports_and_metrics(spark, tmp_path):
     assert (lines[0]["raw_trips"], lines[0]["clean_trips"]) == (1000, clean)
 
     def read(name):
-        (path,) = glob.glob(str(out / name / "part-*.csv"))
-        with open(path, newline="") as fh:
+        with open(out / f"{name}.csv", newline="") as fh:
             return list(csv.DictReader(fh))
     by_hour = read("by_hour")
     assert [int(r["hour"]) for r in by_hour] == sorted(int(r["hour"]) for r in by_hour)

@@ -1,0 +1,123 @@
+"""The curated fact (one folder per month), named result files, running merge of steps."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripfold import schema as S
+from tripfold.functions.rules import bench_rules, strict_rules
+from tripfold.operators.topk import sort_bounded
+from tripfold.plans import reports as Q
+from tripfold.plans import scaling as SC
+from tripfold.sinks import write_report_csv
+from tripfold.sources import adapters as A
+from tripfold.sources import curated as C
+
+from fixtures import SF_SMALL
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def fact(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("curated") / "trips")
+    trips = A.trips_from_lineitem_margin(spark, SF_SMALL).drop(A.LINEITEM_TRIP_ID)
+    C.write_curated(trips, path)
+    return path, trips
+
+
+def same(a, b):
+    return sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_nothing_is_lost_and_months_are_listed(spark, fact):
+    path, trips = fact
+    assert same(C.read_curated(spark, path).drop(S.PERIOD), trips.select(*S.TRIPS.fieldNames()))
+    want = sorted(r[0] for r in trips.where(f"{S.PICKUP} IS NOT NULL").select(F.trunc(S.PICKUP, "month")).distinct().collect())
+    assert C.months(spark, path) == want and len(want) > 60
+    assert trips.where(f"{S.PICKUP} IS NULL").count() == C.read_curated(spark, path).where(f"{S.PERIOD} IS NULL").count() > 0
+
+
+def test_k_months_are_read_from_k_folders(spark, fact):
+    path, trips = fact
+    have = C.months(spark, path)
+    for k in (0, 1, 3, 12, len(have), len(have) + 5):
+        part = C.first_months(spark, path, k)
+        files = {os.path.basename(os.path.dirname(r.f)) for r in part.select(F.input_file_name().alias("f")).distinct().collect()}
+        assert files == {f"{S.PERIOD}={m}" for m in have[:k]}
+        want = trips.where(F.trunc(S.PICKUP, "month").isin(have[:k])) if k else trips.where("false")
+        assert part.count() == want.count()
+    plan = plan_of(Q.location_report(C.first_months(spark, path, 3)))
+    assert "PartitionFilters: [isnotnull(period" in plan
+
+
+def test_a_year_is_read_from_its_folders(spark, fact):
+    path, trips = fact
+    rules = strict_rules(1998, 45.0)
+    year = C.of_year(spark, path, 1998).drop(S.PERIOD)
+    assert same(Q.payment_report(Q.clean_trips(year, rules, None)), Q.payment_report(Q.clean_trips(trips, rules, None)))
+    files = year.select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all(f"{S.PERIOD}=1998-" in r.f for r in files)
+
+
+def test_writing_again_replaces_everything(spark, fact, tmp_path):
+    _, trips = fact
+    path = str(tmp_path / "again")
+    C.write_curated(trips, path)
+    C.write_curated(trips.where(f"{S.PICKUP} < TIMESTAMP_NTZ '1993-01-01'"), path)
+    assert all(m < dt.date(1993, 1, 1) for m in C.months(spark, path))
+
+
+def test_a_report_is_one_named_file_and_is_computed_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    rows = spark.range(30).repartition(3).mapInArrow(watch, "id long")
+    report = sort_bounded(rows.groupBy((F.col("id") % 5).alias("hour")).agg(F.count(F.lit(1)).alias("trips")), asc=["hour"])
+    path = str(tmp_path / "out" / "by_hour.csv")
+    write_report_csv(report, path)
+    assert runs.value == 30
+    with open(path) as fh:
+        assert fh.read().split() == ["hour,trips", *[f"{h},6" for h in range(5)]]
+    assert [n for n in os.listdir(tmp_path / "out") if not n.endswith(".crc")] == ["by_hour.csv"]
+    bad = spark.range(3).select(F.expr("CAST(raise_error('lost') AS int)").alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        write_report_csv(bad, path)
+    with open(path) as fh:  # the older result is still there, and nothing else
+        assert fh.readline() == "hour,trips\n"
+    assert [n for n in os.listdir(tmp_path / "out") if not n.endswith(".crc")] == ["by_hour.csv"]
+    write_report_csv(spark.createDataFrame([(1, None, "N/A")], "a int, b string, c string"), path)
+    with open(path) as fh:
+        assert fh.read() == "a,b,c\n1,,N/A\n"
+
+
+def test_steps_are_running_sums(spark):
+    trips = A.trips_from_events(spark, SF_SMALL)
+    many = SC.scaled_slices(trips, steps=range(1, 13)).collect()
+    few = SC.scaled_slices(trips).collect()
+    assert {tuple(r) for r in few} == {tuple(r) for r in many if r.k in SC.SLICE_STEPS}
+    plan = plan_of(SC.scaled_slices(trips, steps=range(1, 13)))
+    # steps are added up by a window over their sums; only results are multiplied
+    assert plan.index("Generate explode") < plan.index("Window")
+    assert SC.scaled_slices(trips, steps=[1]).count() <= len([r for r in many if r.k == 1])
+    none = SC.scaled_slices(trips.where("false"))
+    assert none.count() == 0
+
+
+def test_a_place_without_new_trips_keeps_its_sums(spark):
+    day = [f"TIMESTAMP_NTZ '2024-01-{d:02d} 10:00:00'" for d in range(1, 13)]
+    rows = [(1, 0), (1, 1), *[(2, d) for d in range(12)], (3, 11), (4, None)]
+    trips = spark.createDataFrame(rows, f"{S.LOCATION} int, d int").selectExpr(
+        S.LOCATION, f"CASE d {' '.join(f'WHEN {i} THEN {x}' for i, x in enumerate(day))} END AS {S.PICKUP}",
+        f"10.0D AS {S.FARE}", f"CAST({S.LOCATION} AS DOUBLE) AS {S.TIP}", f"1.0D AS {S.DISTANCE}", f"1L AS {S.PASSENGERS}")
+    got = {(r.k, r[S.LOCATION]): (r.trips, r.avg_tip) for r in SC.scaled_slices(trips, rules=bench_rules()).collect()}
+    assert got == {(1, 1): (1, 10.0), (3, 1): (2, 10.0), (6, 1): (2, 10.0), (12, 1): (2, 10.0),
+                   (1, 2): (1, 20.0), (3, 2): (3, 20.0), (6, 2): (6, 20.0), (12, 2): (12, 20.0), (12, 3): (1, 30.0), (12, 4): (1, 40.0)}

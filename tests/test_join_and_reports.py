@@ -2,7 +2,7 @@ import pytest
 from fixtures import trap_trips, zones
 
 from tripfold import schema as S
-from tripfold.operators.join import DimensionKeyError, left_join_dimension
+from tripfold.operators.join import NOT_UNIQUE, left_join_dimension
 from tripfold.plans import presentation as P
 from tripfold.functions import rules as R
 from tripfold.plans import reports as Q
@@ -25,8 +25,11 @@ def test_left_join_keeps_unmatched_and_null_ids(spark):
 
 def test_duplicate_dimension_key_fails_loudly(spark):
     dup = spark.createDataFrame([(1, "A", "x"), (1, "B", "y")], S.ZONES)
-    with pytest.raises(DimensionKeyError):
-        left_join_dimension(Q.clean_trips(trap_trips(spark), R.strict_rules(2024)), dup, S.LOCATION).count()
+    joined = left_join_dimension(Q.clean_trips(trap_trips(spark), R.strict_rules(2024)), dup, S.LOCATION)
+    with pytest.raises(Exception, match=NOT_UNIQUE):
+        joined.collect()
+    with pytest.raises(Exception, match=NOT_UNIQUE):  # even if no column of the dimension is read
+        joined.select(S.LOCATION).collect()
 
 
 def test_broadcast_is_decided_by_bytes(spark, tmp_path):
@@ -50,8 +53,26 @@ def test_a_rewritten_dimension_is_checked_again(spark, tmp_path):
     assert left_join_dimension(trips, read_zones_csv(spark, str(path)), S.LOCATION).count() == trips.count()
     path.write_text(head + "1,A,x,s\n1,B,y,s\n")
     spark.catalog.refreshByPath(str(path))
-    with pytest.raises(DimensionKeyError):
-        left_join_dimension(trips, read_zones_csv(spark, str(path)), S.LOCATION)
+    with pytest.raises(Exception, match=NOT_UNIQUE):
+        left_join_dimension(trips, read_zones_csv(spark, str(path)), S.LOCATION).collect()
+
+
+def test_planning_a_join_runs_no_job(spark):
+    clean = Q.clean_trips(trap_trips(spark), R.strict_rules(2024))
+    ids = spark.range(50).selectExpr(f"CAST(id AS int) AS {S.LOCATION}", f"'b' AS {S.BOROUGH}", f"'z' AS {S.ZONE}")
+    spark.sparkContext.setJobGroup("planning", "joins are planned")
+    try:
+        for report in (Q.enriched_trips(clean, ids), Q.zone_report(clean, ids), Q.borough_report(clean, ids)):
+            plan_of(report)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_null_dimension_key_matches_nothing(spark):
+    dim = spark.createDataFrame([(None, "A", "x"), (None, "B", "y"), (1, "C", "z")], S.ZONES)
+    rows = left_join_dimension(spark.createDataFrame([(1,), (None,), (2,)], f"{S.LOCATION} int"), dim, S.LOCATION).collect()
+    assert sorted((r[S.LOCATION] or 0, r[S.BOROUGH]) for r in rows) == [(0, None), (1, "C"), (2, None)]
 
 
 def test_zone_columns_are_taken_by_name(spark, tmp_path):

@@ -7,7 +7,7 @@ from tripfold.operators.partials import REPORT_KEYS, partial_aggregate
 from tripfold.plans import reports as Q
 from tripfold.plans import scaling as SC
 from tripfold.plans.pipeline import run_pipeline, store_reports
-from tripfold.sinks import PartialsStore
+from tripfold.store import PartialsStore
 from tripfold.sources import adapters as A
 
 from fixtures import SF_SMALL
@@ -91,7 +91,7 @@ def test_two_halves_into_one_store_report_themselves(spark, scratch):
     store = PartialsStore(spark, scratch + "/halves")
     clean = 0
     for i, half in enumerate(SC.day_slices(trips, ("2024-01-16",))):
-        res = run_pipeline(half, zones, RULES, store=store, batch=f"half{i}")
+        res = run_pipeline(half, zones, RULES, store=store, batch=f"half{i}", inputs=[f"half{i}"])
         assert res.raw_trips == half.count() and res.clean_trips <= res.raw_trips
         assert res.pct_kept <= 100
         clean += res.clean_trips

@@ -7,7 +7,7 @@ from tripfold.operators.partials import PARTIAL_KEYS, partial_aggregate
 from tripfold.plans import reports as Q
 from tripfold.plans import scaling as SC
 from tripfold.functions import derive as D
-from tripfold.sinks import PartialsStore
+from tripfold.store import PartialsStore
 from tripfold.sources import adapters as A
 from tripfold.streaming import incremental as INC
 

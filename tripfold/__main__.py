@@ -4,6 +4,9 @@ analyze  – raw/clean counts and the four reports → one CSV each + metrics
 scaling  – the location query on the first 1/3/6/12 files, with timings
 ingest   – incremental partials from a landing folder (Structured Streaming)
 report   – the four reports from a store of partials
+correct  – exchange one input file in a store for its corrected form
+batches  – what a store holds
+vacuum   – delete a store's folders that no batch needs any more
 
 Every command prints JSON lines.
 """
@@ -22,9 +25,10 @@ from tripfold.functions.rules import strict_rules
 from tripfold.plans import reports as Q
 from tripfold.plans.pipeline import report_frames, run_pipeline, store_reports
 from tripfold.session import build_session
-from tripfold.sinks import PartialsStore, write_metrics, write_report_csv
+from tripfold.sinks import write_metrics, write_report_csv
 from tripfold.sources.files import (list_files, read_trip_slices, read_trips, read_zones_csv,
                                     read_zones_parquet)
+from tripfold.store import PartialsStore
 
 
 def _zones(spark, path):
@@ -49,14 +53,14 @@ def analyze(args) -> None:
     # the same files make the same batch, so a repeated run replaces its own rows
     batch = args.batch or hashlib.sha1("\n".join(files).encode()).hexdigest()[:16]
     res = run_pipeline(trips, _zones(spark, args.zones), strict_rules(args.year, args.max_distance),
-                       k=args.top, store=store, batch=batch)
+                       k=args.top, store=store, batch=batch, inputs=files, on_overlap=args.on_overlap)
     elapsed = time.time() - t0
     _emit(raw_trips=res.raw_trips, clean_trips=res.clean_trips, pct_kept=res.pct_kept,
-          seconds=round(elapsed, 3))
+          rejected=res.rejected, seconds=round(elapsed, 3))
     if args.out:
         # the reports are already collected (bounded); write them as they are
         for name, df in report_frames(spark, res).items():
-            write_report_csv(df, f"{args.out.rstrip('/')}/{name}")
+            write_report_csv(df, f"{args.out.rstrip('/')}/{name}.csv")
         write_metrics(spark, f"{args.out.rstrip('/')}/metrics", engine="spark",
                       raw_trips=res.raw_trips, clean_trips=res.clean_trips,
                       runtime_sec=round(elapsed, 3))
@@ -93,7 +97,8 @@ def ingest(args) -> None:
                           strict_rules(args.year, args.max_distance), args.checkpoint,
                           max_files_per_trigger=args.max_files,
                           available_now=not args.continuous,
-                          processing_time="1 minute" if args.continuous else None)
+                          processing_time="1 minute" if args.continuous else None,
+                          on_overlap=args.on_overlap)
     q.awaitTermination()
     for row in PartialsStore(spark, args.store).rejects().groupBy("rule_order", "rule").agg(
             F.sum("rejected").alias("rejected")).orderBy("rule_order").collect():
@@ -106,12 +111,40 @@ def report(args) -> None:
     frames = store_reports(PartialsStore(spark, args.store), _zones(spark, args.zones), args.top,
                            args.start, args.end)
     for name, df in frames.items():
+        rows = df.collect()  # bounded; computed once
         if args.out:
-            write_report_csv(df, f"{args.out.rstrip('/')}/{name}")
-        _emit_report(name, df.collect())
+            write_report_csv(spark.createDataFrame(rows, df.schema), f"{args.out.rstrip('/')}/{name}.csv")
+        _emit_report(name, rows)
     spark.stop()
 
 
+def correct(args) -> None:
+    spark = build_session("tripfold-correct", master=args.master)
+    entry = PartialsStore(spark, args.store).correct(args.old, args.new)
+    _emit(batch=entry.batch, raw_trips=entry.raw_trips, clean_trips=entry.clean_trips)
+    spark.stop()
+
+
+def batches(args) -> None:
+    spark = build_session("tripfold-batches", master=args.master)
+    for e in PartialsStore(spark, args.store).entries():
+        _emit(batch=e.batch, commit=e.id, raw_trips=e.raw_trips, clean_trips=e.clean_trips,
+              files=[i[0] for i in e.inputs], taken_back=e.taken_back)
+    spark.stop()
+
+
+def vacuum(args) -> None:
+    spark = build_session("tripfold-vacuum", master=args.master)
+    for path in PartialsStore(spark, args.store).vacuum(args.days):
+        _emit(deleted=path)
+    spark.stop()
+
+
+def _overlap_option(parser) -> None:
+    parser.add_argument("--on-overlap", choices=["refuse", "replace"], default="refuse",
+                        help="what to do about files that another batch of the store holds")
+
+
 def _rule_options(parser, year_required: bool) -> None:
     parser.add_argument("--year", type=int, required=year_required, default=None,
                         help="keep pickups of this year" + ("" if year_required else " (default: every year)"))
@@ -130,6 +163,7 @@ def main(argv=None) -> None:
     a.add_argument("--batch", default=None, help="name of this run in the store (default: from its files)")
     a.add_argument("--top", type=int, default=15)
     _rule_options(a, year_required=True)
+    _overlap_option(a)
     a.set_defaults(fn=analyze)
     s = sub.add_parser("scaling")
     s.add_argument("--trips", nargs="+", required=True)
@@ -144,6 +178,7 @@ def main(argv=None) -> None:
     i.add_argument("--max-files", type=int, default=None)
     i.add_argument("--continuous", action="store_true")
     _rule_options(i, year_required=False)
+    _overlap_option(i)
     i.set_defaults(fn=ingest)
     r = sub.add_parser("report")
     r.add_argument("--store", required=True)
@@ -153,6 +188,18 @@ def main(argv=None) -> None:
     r.add_argument("--out", default=None)
     r.add_argument("--top", type=int, default=15)
     r.set_defaults(fn=report)
+    c = sub.add_parser("correct")
+    c.add_argument("--store", required=True)
+    c.add_argument("--old", required=True, help="the file as it was read (must be unchanged)")
+    c.add_argument("--new", required=True, help="its corrected form, under another name")
+    c.set_defaults(fn=correct)
+    b = sub.add_parser("batches")
+    b.add_argument("--store", required=True)
+    b.set_defaults(fn=batches)
+    v = sub.add_parser("vacuum")
+    v.add_argument("--store", required=True)
+    v.add_argument("--days", type=float, default=7.0)
+    v.set_defaults(fn=vacuum)
     args = p.parse_args(argv)
     args.fn(args)
 

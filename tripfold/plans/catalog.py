@@ -4,25 +4,35 @@ All run over whole tables.  The trip fact is the events adapter and the
 zone dimension is nation ⋈ region (see ``tripfold.sources.adapters``); the
 ``lineitem_*`` queries use the lineitem adapter, whose place dimension
 (supplier) grows with the data and whose names repeat across ids.
+
+Queries over derived tables (a store of partials, the curated fact) share one
+table for each state of the input files (path, length, time of change): the
+first of them writes it to the shared folder, the others read it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripfold import hadoop as H
+
 from tripfold import schema as S
 from tripfold.functions import rules as R
 from tripfold.functions import derive as D
-from tripfold.operators.partials import REPORT_KEYS, mean, merge, money, partial_aggregate
+from tripfold.operators.partials import LEVEL, at_level, lattice, mean, merge, money, partial_aggregate
 from tripfold.plans import presentation as P
 from tripfold.plans import reports as Q
 from tripfold.plans import scaling as SC
-from tripfold.session import scratch_table_path
-from tripfold.sinks import PartialsStore
+from tripfold.plans.pipeline import REPORT_LEVELS
+from tripfold.session import shared_path
 from tripfold.sources import adapters as A
+from tripfold.sources import curated as C
+from tripfold.store import PartialsStore
 
 # Year of the events table (its rows of other years are rejected).
 YEAR = 2024
@@ -48,9 +58,25 @@ def _clean(spark: SparkSession, d: str, period: str | None = None) -> DataFrame:
     return Q.clean_trips(A.trips_from_events(spark, d), _rules(), period)
 
 
-def _partials(spark: SparkSession, d: str) -> DataFrame:
-    """What a report needs: no period, so the table is a few percent of the trips."""
-    return partial_aggregate(_clean(spark, d), REPORT_KEYS)
+def _derived_path(spark: SparkSession, name: str, trips: DataFrame, *facts: str) -> str:
+    """Where the table that is derived from these files by these rules stands."""
+    files = [H.info(spark, H.from_uri(spark, f)) for f in sorted(trips.inputFiles())]
+    key = hashlib.sha1(json.dumps([files, facts, spark.sparkContext.applicationId]).encode()).hexdigest()[:16]
+    return shared_path(spark, "tables", f"{name}-{key}")
+
+
+def _store(spark: SparkSession, d: str, period: str = D.PERIOD_MONTH_SQL) -> PartialsStore:
+    """A store with the partials of all events as the batch ``all``."""
+    trips, rules = A.trips_from_events(spark, d), _rules()
+    store = PartialsStore(spark, _derived_path(spark, "partials", trips, R.all_of_sql(rules), period))
+    if not store.entries("all"):
+        store.load(trips, rules, "all", period=period)
+    return store
+
+
+def _lattice(spark: SparkSession, d: str) -> DataFrame:
+    """The stored partials at the key sets of all reports, in one pass."""
+    return lattice(_store(spark, d).read("all"), REPORT_LEVELS)
 
 
 def demand_by_hour(spark, d, ordered=True):
@@ -105,21 +131,35 @@ def partials(spark, d):
 
 
 def hour_from_partials(spark, d):
-    return Q.hour_report(_partials(spark, d), from_partials=True)
+    return Q.hour_report(at_level(_lattice(spark, d), [S.HOUR]), from_partials=True)
 
 
 def zones_from_partials(spark, d):
     zones = A.zones_from_nation_region(spark, d)
-    return Q.top_zones(_partials(spark, d), zones, k=15, from_partials=True)
+    return Q.top_zones(at_level(_lattice(spark, d), [S.LOCATION]), zones, k=15, from_partials=True)
 
 
 def borough_from_partials(spark, d):
     zones = A.zones_from_nation_region(spark, d)
-    return Q.borough_report(_partials(spark, d), zones, from_partials=True)
+    return Q.borough_report(at_level(_lattice(spark, d), [S.LOCATION]), zones, from_partials=True)
 
 
 def payment_from_partials(spark, d):
-    return Q.payment_report(_partials(spark, d), from_partials=True)
+    return Q.payment_report(at_level(_lattice(spark, d), [S.PAYMENT]), from_partials=True)
+
+
+def report_lattice(spark, d):
+    """All roll-ups of the stored partials in one pass, the whole and each month by payment type among them."""
+    levels = [*REPORT_LEVELS, [S.PERIOD, S.PAYMENT], []]
+    return lattice(_store(spark, d).read("all"), levels).select(
+        F.when(F.col(LEVEL) == "", "all").otherwise(F.col(LEVEL)).alias(LEVEL), S.PERIOD, S.HOUR, S.LOCATION, S.PAYMENT, "trips",
+        mean("sum_distance").alias("avg_distance_mi"), mean("sum_fare").alias("avg_fare"),
+        mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct"), money("sum_total").alias("total_revenue"))
+
+
+def stored_reject_counts(spark, d):
+    """Rejected trips by rule, as the commits of a store have them."""
+    return _store(spark, d).rejects().groupBy("rule_order", "rule").agg(F.sum("rejected").alias("rejected"))
 
 
 def zone_labels_top10(spark, d):
@@ -161,11 +201,10 @@ def sliced_union(spark, d):
 def periods_merged(spark, d):
     """Partials of disjoint periods, one stored batch each, concatenated and merged by hour and payment type.
 
-    The store is partitioned by period, so each range reads its own folders and
-    the trips are scanned once, when the store is written.
+    The store is partitioned by period (day), so each range reads its own folders
+    and the trips are scanned once, when the store is written.
     """
-    store = PartialsStore(spark, scratch_table_path(spark, "periods"))
-    store.write(partial_aggregate(_clean(spark, d, D.PERIOD_DAY_SQL)), "all")
+    store = _store(spark, d, D.PERIOD_DAY_SQL)
     edges = ["0001-01-01", *PERIOD_BOUNDS, "9999-12-31"]
     whole = SC.union_all([store.periods(a, b) for a, b in zip(edges[:-1], edges[1:])])
     merged = merge(whole, [S.HOUR, S.PAYMENT])
@@ -231,6 +270,25 @@ def lineitem_revenue_by_region(spark, d):
     return Q.borough_report(clean, A.zones_from_supplier(spark, d))
 
 
+def _curated(spark: SparkSession, d: str) -> str:
+    trips = A.trips_from_lineitem(spark, d).drop(A.LINEITEM_TRIP_ID)
+    path = _derived_path(spark, "curated", trips)
+    if not H.exists(spark, f"{path}/_SUCCESS"):
+        C.write_curated(trips, path)
+    return path
+
+
+def curated_year_by_payment(spark, d):
+    """The year's report from the year's folders of the curated fact."""
+    trips = C.of_year(spark, _curated(spark, d), LINEITEM_YEAR)
+    return Q.payment_report(Q.clean_trips(trips.drop(S.PERIOD), _lineitem_rules(), None))
+
+
+def curated_first_months(spark, d):
+    """The scaling query over the first twelve months, from twelve folders."""
+    return Q.location_report(C.first_months(spark, _curated(spark, d), 12), digits=6)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "demand_by_hour": demand_by_hour,
     "top_zones": top_zones,
@@ -246,6 +304,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zones_from_partials": zones_from_partials,
     "borough_from_partials": borough_from_partials,
     "payment_from_partials": payment_from_partials,
+    "report_lattice": report_lattice,
+    "stored_reject_counts": stored_reject_counts,
+    "curated_year_by_payment": curated_year_by_payment,
+    "curated_first_months": curated_first_months,
     "zone_labels_top10": zone_labels_top10,
     "borough_min_trips": borough_min_trips,
     "payment_labels": payment_labels,

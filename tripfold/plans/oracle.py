@@ -222,6 +222,25 @@ FROM clean GROUP BY month, hour, PULocationID, payment_type""",
     "zones_from_partials": EV + TOP_ZONES,
     "borough_from_partials": EV + BOROUGH,
     "payment_from_partials": EV + PAYMENT,
+    "report_lattice": EV + """
+SELECT CASE WHEN grouping(hour) = 0 THEN 'hour' WHEN grouping(PULocationID) = 0 THEN 'PULocationID'
+            WHEN grouping(month) = 0 THEN 'period,payment_type' WHEN grouping(payment_type) = 0 THEN 'payment_type'
+            ELSE 'all' END AS level,
+       month AS period, hour, PULocationID, payment_type, count(*) AS trips,
+       round(avg(trip_distance), 2) AS avg_distance_mi, round(avg(fare_amount), 2) AS avg_fare,
+       round(avg(tip_pct), 2) AS avg_tip_pct, round(sum(total_amount), 2) AS total_revenue
+FROM clean
+GROUP BY GROUPING SETS ((hour), (PULocationID), (payment_type), (month, payment_type), ())""",
+    "stored_reject_counts": with_(EVENTS_TRIPS) + ", " + reject_counts_sql(strict_rules()),
+    "curated_year_by_payment": with_(LINEITEM_TRIPS, clean_cte(_li_rules())) + PAYMENT,
+    "curated_first_months": with_(LINEITEM_TRIPS) + f"""
+SELECT PULocationID, count(*) AS trips,
+       round(avg(tip_amount / fare_amount * 100), 6) AS avg_tip
+FROM trips
+WHERE {where(BENCH_RULES)} AND date_trunc('month', tpep_pickup_datetime) IN (
+  SELECT DISTINCT date_trunc('month', tpep_pickup_datetime) AS m FROM trips
+  WHERE tpep_pickup_datetime IS NOT NULL ORDER BY m LIMIT 12)
+GROUP BY PULocationID""",
     "zone_labels_top10": EV + f"""
 SELECT Zone || ' (' || Borough || ')' AS label, trips, trips / {MILLION} AS trips_millions
 FROM ({ZONE_REPORT}) z

@@ -4,11 +4,12 @@ The reference's scaling study re-runs the location query on the first
 1, 3, 6 and 12 of twelve monthly files.  Here that is one plan over the
 data's own periods: step t of 12 holds the first t/12 of the periods that the
 table has, so the last step is the whole table, whatever its dates.  Kept rows
-are pre-aggregated once per (period, place); each pre-aggregated row is fanned
-out to the steps that contain it (``explode`` of at most four values, not a
-join) and summed per (step, place).  The pre-aggregated rows are written to the
-shared folder, since the list of periods (a scalar subquery) needs them as well,
-so the table is scanned once.
+are pre-aggregated once per (period, place); each pre-aggregated row goes to the
+one step that first contains it, and the steps of a place are then summed up from
+the first to the last (a running merge).  So the cost of the steps is that of
+their results, however many there are.  The pre-aggregated rows are written to
+the shared folder, since the list of periods (a scalar subquery) needs them as
+well, so the table is scanned once.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripfold import schema as S
 from tripfold.functions import derive as D
+from tripfold.functions import exact as E
 from tripfold.functions.rules import Rule, apply_rules, bench_rules
+from tripfold.operators.partials import mean
 from tripfold.session import scratch_table_path
 
 # Twelfths of the table's periods.
@@ -39,7 +42,7 @@ def scaled_slices(trips: DataFrame, steps: Sequence[int] = SLICE_STEPS,
     kept = apply_rules(trips, bench_rules() if rules is None else rules).select(
         D.period_day().alias(S.PERIOD), S.LOCATION, D.tip_pct_unguarded().alias(S.TIP_PCT))
     per_period = kept.groupBy(S.PERIOD, S.LOCATION).agg(
-        F.count(F.lit(1)).alias("trips"), F.sum(S.TIP_PCT).alias("sum_tip_pct"),
+        F.count(F.lit(1)).alias("trips"), F.expr(f"{E.exact_sum(S.TIP_PCT)} AS sum_tip_pct"),
         F.count(S.TIP_PCT).alias("n_tip_pct"))
     path = scratch_table_path(trips.sparkSession, "per-period")
     per_period.write.parquet(path)
@@ -53,11 +56,21 @@ def scaled_slices(trips: DataFrame, steps: Sequence[int] = SLICE_STEPS,
     arr = F.array(*[F.lit(k) for k in ks])
     # period nth of n lies in step k of 12 if nth <= ceil(n * k / 12)
     inside = F.filter(arr, lambda k: (F.col("nth") - 1) * WHOLE < F.col("n") * k)
-    fanned = placed.withColumn("k", F.explode(inside))
-    avg = F.try_divide(F.sum("sum_tip_pct"), F.sum("n_tip_pct"))
-    return fanned.groupBy("k", S.LOCATION).agg(
-        F.sum("trips").alias("trips"),
-        (F.round(avg, digits) if digits is not None else avg).alias("avg_tip"))
+    steps_of = placed.withColumn("step", F.array_min(inside)).where("step IS NOT NULL")
+    own = steps_of.groupBy(S.LOCATION, "step").agg(
+        F.sum("trips").alias("trips"), F.expr(f"{E.merged_sum('sum_tip_pct')} AS sum_tip_pct"),
+        F.sum("n_tip_pct").alias("n_tip_pct"))
+    # at most one row a step in each window
+    ahead = Window.partitionBy(S.LOCATION).orderBy("step")
+    so_far = ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = own.select(
+        S.LOCATION, "step", F.lead("step").over(ahead).alias("next"), F.sum("trips").over(so_far).alias("trips"),
+        F.sum("n_tip_pct").over(so_far).alias("n_tip_pct"),
+        F.struct(*[F.sum(f"sum_tip_pct.{f}").over(so_far).alias(f) for f in E.EXACT_SUM.fieldNames()]).alias("sum_tip_pct"))
+    # a place without trips of its own in a step has the sums of the one before
+    until = F.filter(arr, lambda k: (k >= F.col("step")) & (F.col("next").isNull() | (k < F.col("next"))))
+    return running.withColumn("k", F.explode(until)).select(
+        "k", S.LOCATION, "trips", mean("sum_tip_pct", "n_tip_pct", digits).alias("avg_tip"))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -1,41 +1,37 @@
-"""Sinks: report CSVs, run metrics, and the partitioned partials table."""
+"""Sinks: report CSVs, run metrics; the partials store is ``tripfold.store``."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tripfold import schema as S
-from tripfold.functions.exact import EXACT_SUM
-from tripfold.operators.partials import PARTIAL_KEYS, merge
-
-PARTIALS_SCHEMA = T.StructType([
-    T.StructField(S.HOUR, T.IntegerType(), True),
-    T.StructField(S.LOCATION, T.IntegerType(), True),
-    T.StructField(S.PAYMENT, T.LongType(), True),
-    T.StructField("trips", T.LongType(), False),
-    T.StructField("sum_distance", EXACT_SUM, True),
-    T.StructField("sum_fare", EXACT_SUM, True),
-    T.StructField("sum_tip_pct", EXACT_SUM, True),
-    T.StructField("n_tip_pct", T.LongType(), False),
-    T.StructField("sum_total", EXACT_SUM, True),
-    T.StructField(S.PERIOD, T.DateType(), True),
-])
+from tripfold import hadoop as H
+from tripfold.store import BATCH, PARTIALS_SCHEMA, STORE_SCHEMA, PartialsStore
 
+__all__ = ["BATCH", "PARTIALS_SCHEMA", "STORE_SCHEMA", "PartialsStore", "write_metrics", "write_report_csv"]
 
 def write_report_csv(report: DataFrame, path: str) -> None:
-    """A finished report → one CSV file with header (overwrite).
-
-    Reports are bounded by their key domain, so one output file is right.
-    The rows are gathered by an exchange (``repartition(1)`` keeps a sorted
-    report's single partition as it is), so the stage above still runs in
-    parallel.  ``N/A`` values are written as text and NULL as an empty field.
+    """A finished report → the CSV file ``path``, with header, by its name.
+
+    Spark writes one part file to a folder beside it, which is then renamed over
+    an older result; a write that fails leaves the older one.  Reports are
+    bounded by their key domain, so one file is right: ``coalesce(1)`` keeps a
+    sorted report's single partition as it is, and the stages below the last
+    exchange still run in parallel.  ``N/A`` values are written as text and
+    NULL as an empty field.
     """
-    one = report if report.rdd.getNumPartitions() == 1 else report.repartition(1)
-    one.write.mode("overwrite").option("header", True).csv(path)
+    spark = report.sparkSession
+    folder, _, name = path.rpartition("/")
+    beside = f"{folder}/.{name}-{uuid.uuid4().hex}" if folder else f".{name}-{uuid.uuid4().hex}"
+    try:
+        report.coalesce(1).write.option("header", True).csv(beside)
+        parts = [n for n in H.names(spark, beside) if n.startswith("part-")]
+        if parts:
+            H.replace(spark, f"{beside}/{parts[0]}", path)
+    finally:
+        H.delete(spark, beside)
 
 
 def write_metrics(spark: SparkSession, path: str, **fields) -> DataFrame:
@@ -44,50 +40,3 @@ def write_metrics(spark: SparkSession, path: str, **fields) -> DataFrame:
     df = spark.createDataFrame([row])
     df.coalesce(1).write.mode("append").json(path)
     return df
-
-
-BATCH = "batch"
-STORE_SCHEMA = T.StructType([*PARTIALS_SCHEMA.fields, T.StructField(BATCH, T.StringType(), True)])
-
-
-class PartialsStore:
-    """Partial aggregates as Parquet in ``batch=<name>/period=<date>/``.
-
-    A batch is a set of trips: one run of the analysis, one period, or one
-    micro-batch of the ingest.  Writing a batch replaces all of it, so a
-    repeated run leaves nothing stale, and batches never touch each other.
-    Readers sum over batches; filters on ``batch`` and ``period`` prune
-    folders.  The same trips must not be written under two batch names.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def write(self, partials: DataFrame, batch: str) -> None:
-        cols = [f.name for f in PARTIALS_SCHEMA.fields]
-        # One task – and so one file – per period: partials per period are
-        # key-bounded (hours × places × payment codes).
-        (partials.select(*cols).repartition(S.PERIOD).write.mode("overwrite")
-         .partitionBy(S.PERIOD).parquet(f"{self.path}/{BATCH}={batch}"))
-
-    def write_rejects(self, rejects: DataFrame, batch: str) -> None:
-        """Per-rule reject counts of a batch, beside the partials."""
-        rejects.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_rejects/{BATCH}={batch}")
-
-    def read(self, batch: str | None = None) -> DataFrame:
-        rows = self.spark.read.schema(STORE_SCHEMA).parquet(self.path)
-        return rows if batch is None else rows.where(F.col(BATCH) == batch)
-
-    def rejects(self) -> DataFrame:
-        return (self.spark.read.schema(f"rule_order int, rule string, rejected bigint, {BATCH} string")
-                .parquet(f"{self.path}/_rejects"))
-
-    def periods(self, start: str, end: str) -> DataFrame:
-        """Partials for ``start <= period < end`` (partition-pruned)."""
-        p = F.col(S.PERIOD)
-        return self.read().filter((p >= F.lit(start).cast("date")) & (p < F.lit(end).cast("date")))
-
-    def merged(self) -> DataFrame:
-        """One row per full key, summed over all batches."""
-        return merge(self.read(), PARTIAL_KEYS)
