@@ -44,9 +44,6 @@ def negated(column: str) -> str:
 
 
 def total(column: str) -> str:
-    """The sum as a double, rounded once."""
-    mid = f"({column}.mid + shiftright({column}.low, 20))"
-    whole = f"({column}.whole + shiftright({mid}, 20))"
-    rest = f"(({mid} & 1048575L) * 1048576L + ({column}.low & 1048575L))"
-    value = f"(CAST({whole} AS DOUBLE) + CAST({rest} AS DOUBLE) / 1099511627776D)"
-    return f"coalesce({value} + {column}.odd, {value}, {column}.odd)"
+    """The sum as a double; the same for any order, since its parts are."""
+    value = (f"(CAST({column}.whole AS DOUBLE) + (CAST({column}.mid AS DOUBLE) + CAST({column}.low AS DOUBLE) / {_STEP}) / {_STEP})")
+    return f"CASE WHEN {column}.odd IS NULL THEN {value} ELSE coalesce({value}, 0D) + {column}.odd END"

@@ -25,6 +25,7 @@ from tripfold import schema as S
 from tripfold.functions import rules as R
 from tripfold.functions import derive as D
 from tripfold.operators.partials import LEVEL, at_level, lattice, mean, merge, money, partial_aggregate
+from tripfold.operators.topk import top_k
 from tripfold.plans import presentation as P
 from tripfold.plans import reports as Q
 from tripfold.plans import scaling as SC
@@ -131,21 +132,22 @@ def partials(spark, d):
 
 
 def hour_from_partials(spark, d):
-    return Q.hour_report(at_level(_lattice(spark, d), [S.HOUR]), from_partials=True)
+    return Q.finalise_hours(at_level(_lattice(spark, d), [S.HOUR]))
 
 
 def zones_from_partials(spark, d):
     zones = A.zones_from_nation_region(spark, d)
-    return Q.top_zones(at_level(_lattice(spark, d), [S.LOCATION]), zones, k=15, from_partials=True)
+    named = Q.named_measures(at_level(_lattice(spark, d), [S.LOCATION]), zones, [S.BOROUGH, S.ZONE])
+    return top_k(Q.finalise_zones(named), 15, desc=["trips"], asc=[S.BOROUGH, S.ZONE])
 
 
 def borough_from_partials(spark, d):
     zones = A.zones_from_nation_region(spark, d)
-    return Q.borough_report(at_level(_lattice(spark, d), [S.LOCATION]), zones, from_partials=True)
+    return Q.finalise_boroughs(Q.named_measures(at_level(_lattice(spark, d), [S.LOCATION]), zones, [S.BOROUGH]))
 
 
 def payment_from_partials(spark, d):
-    return Q.payment_report(at_level(_lattice(spark, d), [S.PAYMENT]), from_partials=True)
+    return Q.finalise_payments(at_level(_lattice(spark, d), [S.PAYMENT]))
 
 
 def report_lattice(spark, d):

@@ -63,16 +63,16 @@ def build_reports(rolled: DataFrame, zones: DataFrame, k: int = 15,
     if named is None:
         named = _named(rolled, zones)
     return {
-        "by_hour": Q.hour_report(at_level(rolled, [S.HOUR]), from_partials=True),
+        "by_hour": Q.finalise_hours(at_level(rolled, [S.HOUR])),
         "top_zones": top_k(Q.finalise_zones(named), k, desc=["trips"], asc=[S.BOROUGH, S.ZONE]),
         "by_borough": Q.finalise_boroughs(named),
-        "by_payment": Q.payment_report(at_level(rolled, [S.PAYMENT]), from_partials=True),
+        "by_payment": Q.finalise_payments(at_level(rolled, [S.PAYMENT])),
     }
 
 
 def _named(rolled: DataFrame, zones: DataFrame) -> DataFrame:
     """(Borough, Zone) measures: bounded by the number of named places."""
-    return Q.place_measures(at_level(rolled, [S.LOCATION]), zones, [S.BOROUGH, S.ZONE], from_partials=True)
+    return Q.named_measures(at_level(rolled, [S.LOCATION]), zones, [S.BOROUGH, S.ZONE])
 
 
 def run_pipeline(trips: DataFrame, zones: DataFrame, rules: list[Rule], k: int = 15,

@@ -31,7 +31,11 @@ def clean_trips(trips: DataFrame, rules: list[Rule],
 # ---------------------------------------------------------------- by hour
 def hour_report(src: DataFrame, from_partials: bool = False, ordered: bool = True) -> DataFrame:
     """``ordered=False`` leaves the order to a view that sorts (or aggregates) again."""
-    m = measures(src, [S.HOUR], from_partials)
+    return finalise_hours(measures(src, [S.HOUR], from_partials), ordered)
+
+
+def finalise_hours(m: DataFrame, ordered: bool = True) -> DataFrame:
+    """Measures by hour → the hour report columns."""
     report = m.select(
         S.HOUR, "trips",
         mean("sum_distance").alias("avg_distance_mi"),
@@ -44,9 +48,12 @@ def hour_report(src: DataFrame, from_partials: bool = False, ordered: bool = Tru
 def place_measures(src: DataFrame, zones: DataFrame, name_keys: list[str],
                    from_partials: bool = False) -> DataFrame:
     """Measures by place id → join names → merge by ``name_keys``."""
-    by_id = measures(src, [S.LOCATION], from_partials)
-    named = left_join_dimension(by_id, zones, S.LOCATION)
-    return merge(named, name_keys)
+    return named_measures(measures(src, [S.LOCATION], from_partials), zones, name_keys)
+
+
+def named_measures(by_id: DataFrame, zones: DataFrame, name_keys: list[str]) -> DataFrame:
+    """Measures that are by place id already → join names → merge by ``name_keys``."""
+    return merge(left_join_dimension(by_id, zones, S.LOCATION), name_keys)
 
 
 def zone_report(src: DataFrame, zones: DataFrame, from_partials: bool = False) -> DataFrame:
@@ -88,7 +95,11 @@ def finalise_boroughs(m: DataFrame, ordered: bool = True) -> DataFrame:
 
 # ---------------------------------------------------------- by payment
 def payment_report(src: DataFrame, from_partials: bool = False, ordered: bool = True) -> DataFrame:
-    m = measures(src, [S.PAYMENT], from_partials)
+    return finalise_payments(measures(src, [S.PAYMENT], from_partials), ordered)
+
+
+def finalise_payments(m: DataFrame, ordered: bool = True) -> DataFrame:
+    """Measures by payment type → the payment report columns."""
     report = m.select(S.PAYMENT, "trips", mean("sum_tip_pct", "n_tip_pct").alias("avg_tip_pct"))
     return sort_bounded(report, asc=[S.PAYMENT]) if ordered else report
 
