@@ -78,5 +78,53 @@ def test_a_histogram_of_few_lengths_is_packed_near_the_dual_bound():
         assert sum(copies for _, copies in plan) <= 1.01 * bound + 1
 
 
+def checked(counts, capacity=2048):
+    plan, bound = packing.bounded_plan(counts, capacity)
+    assert all(sum(config) <= capacity and copies > 0 for config, copies in plan)
+    placed_by = np.zeros(capacity + 1, np.int64)
+    for config, copies in plan:
+        for n in config:
+            placed_by[n] += copies
+    assert (placed_by == counts).all()
+    return sum(copies for _, copies in plan), bound
+
+
+def test_gap_to_the_dual_bound():
+    rng = np.random.default_rng(1)
+    forty, many = np.zeros(2049, np.int64), np.zeros(2049, np.int64)
+    forty[rng.integers(200, 1200, 40)] = rng.integers(100, 3000, 40)
+    many[rng.choice(np.arange(20, 1500), 700, replace=False)] = rng.integers(1, 300, 700)
+    for counts, gap in ((forty, 0.015), (many, 0.005)):
+        used, bound = checked(counts)
+        assert bound <= used <= bound * (1 + gap) + 1, (used, bound)
+
+
+def test_the_program_gives_the_plan():
+    counts = np.zeros(2049, np.int64)
+    for size, times in ((800, 1), (750, 2), (700, 2), (648, 1), (624, 2), (548, 1)):
+        counts[size] = 1000 * times
+    amounts, total, bound = packing.fractional(counts, 2048)
+    for size in np.flatnonzero(counts):  # every length is covered, and no cover can be smaller than the bound
+        assert sum(a * config.count(size) for config, a in amounts.items()) >= counts[size] * (1 - 1e-9)
+    assert bound <= 3000 * (1 + 1e-9) and total <= bound * (1 + packing.ACCURACY)
+    plan = packing.plan(counts, 2048)
+    assert sum(n for config, n in plan if config in amounts) >= 0.99 * sum(n for _, n in plan)
+    assert sum(n for _, n in packing.best_fit(counts, 2048)) > 3100  # best fit alone
+
+
+def test_a_length_that_is_there_once_is_used_once():
+    counts = np.zeros(101, np.int64)
+    counts[[50, 30, 20, 25]] = 1, 1, 1, 3
+    used, bound = checked(counts, 100)
+    assert used == bound == 2
+    assert all(config.count(50) <= 1 for config in packing.fractional(counts, 100)[0])
+
+
+def test_columns_with_dots(spark):
+    docs = spark.createDataFrame([(1, "a b", 2)], "doc_id long, text string, `meta.url` int")
+    (row,) = packing.packed(packing.tokenized(docs, docs.columns)).collect()
+    assert (row.doc["meta.url"], row.sequence_id, row.offset) == (2, 0, 0)
+
+
 def test_empty_table(no_docs):
     assert packing.packed(packing.tokenized(no_docs, ["doc_id"])).count() == 0

@@ -6,21 +6,26 @@
 2. Only the length histogram (one number a length, at most ``capacity``)
    reaches the driver. The covering program ``min sum x_c, every length
    covered`` is solved by multiplicative weights: lengths have weights, a
-   knapsack dynamic program prices the best configuration, weights fall with
-   coverage, in small steps, until the scaled average covers every length.
-   Every pricing gives a dual bound. The fractional solution is rounded down
-   and the pieces that remain are packed best-fit decreasing on the histogram.
-   A knapsack fill of the longest pieces first is planned, too; the shorter plan
-   holds, and if that one is within ``NEAR`` of the bound by volume the program is
-   not solved.
+   knapsack dynamic program prices configurations, and the weight of a length
+   falls exponentially with its coverage. One pricing gives the best
+   configuration through each of the least covered lengths; known
+   configurations near the best price share the steps. Every pricing gives a
+   dual bound; the program ends when its value is within ``ACCURACY`` of the
+   bound, or after ``ROUNDS`` pricings. The configurations of a best fit are
+   known from the start, without amounts.
+   The solution is rounded (fullest configurations first, parts of amounts
+   carried to the next one) and the pieces that remain are packed best fit. That
+   is done for several ``SHARES`` of the amounts, since best fit does better with
+   more pieces; the shortest plan holds.
 3. The plan is a list of (configuration, copies). Pieces get their rank among
    those of their length from per-task counts (a running sum over tasks, no
    global sort); rank and length give sequence and offset by a range join
    against the plan's runs.
 
 The plan's size depends on ``capacity`` and the rounds, not on the number of
-documents: every round and every best-fit step adds one configuration, and a
-best-fit step uses up a length. It is broadcast (at most a few megabytes).
+documents: a pricing adds at most ``EACH`` configurations, and a best-fit step
+uses up a length. It is broadcast if it has at most ``MOST_SLOTS`` rows (some
+50 bytes each); beyond that Spark joins by the length.
 
 Defined cases: null text is empty; an empty text is one token (the
 separator). Repeated rows are packed one by one. An empty table gives an empty
@@ -45,14 +50,19 @@ from tripfold.llm.shared import prepare, stored
 
 CAPACITY = 2048
 SEPARATOR = 0
-ROUNDS = 400
-#: Of the multiplicative weights: how fast they fall, and the steps taken at most.
-STEP = 0.02
-STEPS = 100_000
-#: A plan this near the bound by volume is nearer than the program's accuracy, so the program is not solved.
-NEAR = 0.001
-#: Of the knapsack fill: a piece is worth its length to this power.
-SIZE_POWER = 1.1
+#: Of the multiplicative weights: pricings, configurations of a pricing, steps after it, and how far a step falls.
+ROUNDS = 40
+EACH = 60
+STEPS = 60
+STEP = 0.2
+#: How near the best price a configuration must be to share a step: in the first pricing and in the last.
+NEAR = (0.05, 0.002)
+#: The program is solved if it is this near its dual bound.
+ACCURACY = 0.003
+#: Parts of the amounts that are rounded; best fit packs the rest.
+SHARES = (1.0, 0.95, 0.9, 0.75, 0.5)
+#: Rows of a plan that are broadcast.
+MOST_SLOTS = 200_000
 VOCABULARY = "byte_bpe_50k"
 END = "<|endoftext|>"
 
@@ -95,7 +105,7 @@ def tokenized(docs: DataFrame, keep: list[str], text: str = "text", capacity: in
     """One row per piece: doc, piece, start, length, ids_crc32, and ``task``, ``nth``: the task that cut it and its
     number there among the pieces of its length."""
     prepare(docs.sparkSession)
-    source = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.col(text).alias("text"))
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col(f"`{text}`").alias("text"))
     fields = T.StructType([T.StructField("doc", source.schema["doc"].dataType)] + T.StructType.fromDDL(
         "piece int, start long, length long, ids_crc32 long, task int, nth long").fields)
 
@@ -118,114 +128,126 @@ def tokenized(docs: DataFrame, keep: list[str], text: str = "text", capacity: in
     return source.mapInArrow(run, fields)
 
 
-def best_configuration(value: np.ndarray, capacity: int) -> np.ndarray:
-    """Lengths (with repeats) of the most valuable configuration; value[l] is that of one piece of length l (0: none). Unbounded knapsack."""
-    items = np.flatnonzero(value > 0)
-    worth = value[items]
-    best = np.zeros(capacity + 1)
-    taken = np.zeros(capacity + 1, np.int64)
-    for c in range(1, capacity + 1):
-        n = int(np.searchsorted(items, c, side="right"))
-        best[c], taken[c] = best[c - 1], 0
-        if n:
-            gain = worth[:n] + best[c - items[:n]]
-            at = int(gain.argmax())
-            if gain[at] > best[c]:
-                best[c], taken[c] = gain[at], items[at]
-    out, c = [], capacity
-    while c > 0:
-        if taken[c]:
-            out.append(int(taken[c]))
-            c -= int(taken[c])
-        else:
-            c -= 1
-    return np.array(sorted(out, reverse=True), np.int64)
-
-
-def filled(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
-    """Configurations and amounts of a knapsack fill: as much of the fullest configuration as its scarcest length allows, then the next.
-
-    Worths are a little above proportion to size, so that long pieces go first and short ones stay to fill gaps.
-    """
-    lengths = np.flatnonzero(counts)
-    out: dict[tuple[int, ...], float] = {}
-    worth = np.zeros(capacity + 1)
-    worth[lengths] = (lengths / capacity) ** SIZE_POWER
-    open_ = counts.astype(float)
-    for _ in range(rounds):
-        value = np.where(open_ >= 1, worth, 0)
-        if not value.any():
-            break
-        config = best_configuration(value, capacity)
-        size, copies = np.unique(config, return_counts=True)
-        amount = max(float((open_[size] / copies).min()), 1.0 / float(copies.max()))
-        open_[size] -= np.minimum(open_[size], amount * copies)
-        key = tuple(config.tolist())
-        out[key] = out.get(key, 0.0) + amount
-    return out
-
-
-def fractional(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[dict[tuple[int, ...], float], float]:
-    """Configurations and amounts for the covering program over ``counts`` (pieces of each length), and a lower bound of it.
-
-    Multiplicative weights: a step adds as much of a configuration as covers its scarcest length once, and the weights of
-    its lengths fall exponentially with the share covered; covered lengths stay in, and the amounts are scaled at the end
-    by the least coverage. Weights only fall, so the last priced worth bounds all later ones: known configurations are
-    used while one of them is near it, and only then the knapsack is asked again (``rounds`` times at most), the less
-    often the longer it has found nothing new. Weights over the priced worth are a dual solution.
+class Program:
+    """The covering program over a histogram: lengths, needs, and the configurations known so far as (configuration, length, times) entries."""
+
+    def __init__(self, counts: np.ndarray, capacity: int) -> None:
+        self.counts, self.capacity = counts, capacity
+        self.lengths = np.flatnonzero(counts)
+        self.need = counts[self.lengths].astype(float)
+        self.known: dict[tuple[int, ...], int] = {}
+        self._entries: list[tuple[int, int, int]] = []
+
+    def add(self, config: tuple[int, ...]) -> None:
+        if config not in self.known:
+            sizes, times = np.unique(np.array(config), return_counts=True)
+            k = self.known[config] = len(self.known)
+            self._entries += [(k, *x) for x in zip(np.searchsorted(self.lengths, sizes).tolist(), times.tolist(), strict=True)]
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        config, length, times = np.array(self._entries).T
+        return config, length, times.astype(float)
+
+    def priced(self, price: np.ndarray) -> np.ndarray:
+        """The worth of the best configuration within every capacity (unbounded knapsack); ``price`` is by length."""
+        worth, least = self._worth(price), int(self.lengths[0])
+        best = np.zeros(self.capacity + 1)
+        for c in range(least, self.capacity + 1):
+            best[c] = max(best[c - 1], (worth[least : c + 1] + best[c - least :: -1]).max())
+        return best
+
+    def through(self, size: int, price: np.ndarray, best: np.ndarray) -> tuple[int, ...]:
+        """The best configuration that has a piece of this length and no more of any length than there are."""
+        worth, least, room, used, out = self._worth(price), int(self.lengths[0]), self.capacity, {}, []
+        while True:
+            out.append(size)
+            room -= size
+            used[size] = used.get(size, 0) + 1
+            if used[size] == self.counts[size]:
+                worth[size] = -np.inf
+            if room < least:
+                break
+            gain = worth[least : room + 1] + best[room - least :: -1]
+            size = least + int(gain.argmax())
+            if worth[size] == -np.inf:
+                break
+        return tuple(sorted(out, reverse=True))
+
+    def _worth(self, price: np.ndarray) -> np.ndarray:
+        worth = np.full(self.capacity + 1, -np.inf)
+        worth[self.lengths] = price
+        return worth
+
+
+def fractional(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[dict[tuple[int, ...], float], float, float]:
+    """Configurations and amounts that cover ``counts`` (pieces of each length), their sum, and a lower bound of it.
+
+    A step adds to every configuration near the best price what covers its scarcest length, divided by how much the others
+    crowd its lengths, and scaled so that no coverage grows by more than ``STEP``. Weights over the priced worth are a dual
+    solution. Amounts over the least coverage are a primal one; twice on the way the coarse beginnings are scaled down.
     """
-    lengths = np.flatnonzero(counts)
-    if not len(lengths):
-        return {}, 0.0
-    need = counts[lengths].astype(float)
-    weight = lengths / capacity / (lengths / capacity * need).sum()  # the first dual bound is that by volume
-    known, columns = {}, np.zeros((0, len(lengths)))
-    amount, covered = np.zeros(0), np.zeros(len(lengths))
-    bound, top, asked, pause, passed, enough = 0.0, 0.0, 0, 0, 0, math.log(len(lengths) + 1) / STEP**2
-    for _ in range(STEPS):
-        worth = columns @ weight
-        at = int(worth.argmax()) if len(worth) else -1
-        low = at < 0 or worth[at] < (1 - STEP) * top
-        if low and passed < pause:
-            passed, top, low = passed + 1, worth[at], False
-        if low:
-            if asked == rounds:
+    program = Program(counts, capacity)
+    lengths, need, m = program.lengths, program.need, len(program.lengths)
+    if not m:
+        return {}, 0.0, 0.0
+    for config, _ in best_fit(counts, capacity):
+        program.add(config)
+    first = np.log(lengths * need / capacity)  # the first dual bound is that by volume
+    covered, amount = np.zeros(m), np.zeros(0)
+    found, total, bound = {}, math.inf, 0.0
+
+    def weights() -> np.ndarray:
+        w = first - covered
+        return np.exp(w - w.max())
+
+    for asked in range(rounds):
+        near = 1 - NEAR[0] * (NEAR[1] / NEAR[0]) ** (asked / max(1, rounds - 1))
+        weight = weights()
+        price = weight / need
+        best = program.priced(price)
+        bound = max(bound, float(weight.sum()) / best[capacity])
+        worth = price + best[capacity - lengths]
+        order = np.argsort(covered, kind="stable")
+        for size in lengths[order[worth[order] >= near * best[capacity]][:EACH]].tolist():
+            program.add(program.through(size, price, best))
+        config, length, times = program.entries()
+        n = len(program.known)
+        amount = np.append(amount, np.zeros(n - len(amount)))
+        scarcest, crowd = np.zeros(n), np.zeros(n)
+        np.maximum.at(scarcest, config, times / need[length])
+        cover = lambda x: np.bincount(length, weights=x[config] * times, minlength=m) / need  # noqa: E731, B023
+        for _ in range(STEPS):
+            value = np.bincount(config, weights=(weights() / need)[length] * times, minlength=n)
+            more = np.where(value >= near * value.max(), 1 / scarcest, 0.0)
+            crowd[:] = 0
+            np.maximum.at(crowd, config, cover(more)[length])
+            more = np.divide(more, crowd, out=np.zeros(n), where=more > 0)
+            more *= STEP / cover(more).max()
+            amount += more
+            covered += cover(more)
+        if covered.min() > 0 and amount.sum() / covered.min() < total:
+            total = float(amount.sum() / covered.min())
+            found = {c: float(amount[k] / covered.min()) for c, k in program.known.items() if amount[k]}
+            if total <= bound * (1 + ACCURACY):
                 break
-            asked, passed, pause = asked + 1, 0, min(2 * pause + 1, 64)
-            value = np.zeros(capacity + 1)
-            value[lengths] = weight
-            key = tuple(best_configuration(value, capacity).tolist())
-            if key not in known:
-                known[key], pause = len(columns), 0
-                columns = np.vstack((columns, np.bincount(np.searchsorted(lengths, key), minlength=len(lengths))))
-                amount = np.append(amount, 0.0)
-            at = known[key]
-            top = float(columns[at] @ weight)
-            bound = max(bound, float(need @ weight) / top)
-        share = columns[at] / need
-        step = 1 / share.max()
-        amount[at] += step
-        covered += step * share
-        weight = weight * np.exp(-STEP * step * share)
-        if covered.min() >= enough:
-            break
-        if weight.max() < 1e-200:
-            weight, top = weight * 1e200, top * 1e200
-    if not covered.min() > 0:  # out of rounds before every length was met: the rest goes to the best fit
-        return {}, bound
-    return {k: float(amount[i] / covered.min()) for k, i in known.items() if amount[i]}, bound
-
-
-def rounded(found: dict[tuple[int, ...], float], counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(configuration, copies): the amounts rounded down, the largest first, and best fit for the rest."""
+        if asked in (rounds // 3, 2 * rounds // 3):
+            first, amount, covered = first - 0.9 * covered, 0.1 * amount, 0.1 * covered
+    return found, total, bound
+
+
+def rounded(found: dict[tuple[int, ...], float], counts: np.ndarray, capacity: int, share: float = 1.0) -> list[tuple[tuple[int, ...], int]]:
+    """(configuration, copies): ``share`` of the amounts in whole copies, the fullest configurations first, and best fit for the rest."""
     left = counts.astype(np.int64).copy()
     out: list[tuple[tuple[int, ...], int]] = []
-    for config, amount in found.items():
+    carry = 0.0
+    for config, amount in sorted(found.items(), key=lambda x: (-sum(x[0]), -x[1], x[0])):
         size, copies = np.unique(np.array(config), return_counts=True)
-        n = int(min(np.floor(amount + 1e-9), (left[size] // copies).min()))
+        carry += amount * share
+        n = int(min(math.floor(carry + 1e-9), (left[size] // copies).min()))
         if n > 0:
             left[size] -= n * copies
             out.append((config, n))
+        carry = min(carry - n, 1.0)
     return out + best_fit(left, capacity)
 
 
@@ -236,15 +258,9 @@ def plan(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[
 
 def bounded_plan(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[list[tuple[tuple[int, ...], int]], int]:
     """The plan, and a lower bound of the sequences that any plan needs."""
-    total = lambda found: sum(n for _, n in found)
-    best = rounded(filled(counts, capacity, rounds), counts, capacity)
-    least = -(-int((counts * np.arange(capacity + 1)).sum()) // capacity)
-    if total(best) > least * (1 + NEAR):
-        amounts, bound = fractional(counts, capacity, rounds)
-        least = max(least, math.ceil(bound * (1 - 1e-9)))
-        by_amount = dict(sorted(amounts.items(), key=lambda x: -x[1]))
-        best = min(best, rounded(by_amount, counts, capacity), key=total)
-    return best, least
+    amounts, _, bound = fractional(counts, capacity, rounds)
+    plans = [rounded(amounts, counts, capacity, share) for share in SHARES]
+    return min(plans, key=lambda found: sum(n for _, n in found)), math.ceil(bound * (1 - 1e-9))
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -295,7 +311,8 @@ def packed(cut: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Da
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     starts = by_task.withColumn("before", F.coalesce(before, F.lit(0))).select("length", "task", "before")
     ranked = cut.join(starts, ["length", "task"]).withColumn("rank", F.col("before") + F.col("nth"))
-    placed = ranked.alias("p").join(F.broadcast(runs).alias("r"), (F.col("p.length") == F.col("r.length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
+    runs = F.broadcast(runs) if len(slots) <= MOST_SLOTS else runs
+    placed = ranked.alias("p").join(runs.alias("r"), (F.col("p.length") == F.col("r.length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     k = F.col("rank") - F.col("low")
     return placed.select("p.doc", "piece", "start", F.col("p.length").alias("length"), "ids_crc32",
                          (F.col("first") + F.floor(k / F.col("each"))).cast("long").alias("sequence_id"),
