@@ -9,11 +9,14 @@ Every other url is judged by its words.
 2. Every distinct part of a host or path (runs of letters) is cut into words by
    Viterbi search over the unigram model. The model is not broadcast: the
    part's substrings are joined to the counts, so it may grow with the corpus.
-3. Multinomial naive Bayes starts from seed phrases, scores every distinct
-   host, and is fitted again with the words of all hosts, weighted by the
-   first score (one step of semi-supervised EM). Words found in more than
-   ``COMMON`` of all hosts (``com``, ``www``, language folders) say nothing
-   and do not count.
+3. Multinomial naive Bayes over the words of distinct hosts and of distinct paths
+   (each a document of its own kind, so a path says nothing about its host's other
+   paths). It starts from seed words, scores every host and path, and is fitted
+   again with the words of all of them, weighted by the first score (one step of
+   semi-supervised EM); one without a seed word counts for both classes in the
+   proportion of those that have evidence, so its own words tell nothing. Both
+   classes are smoothed with the pooled word shares. No word is left out for being
+   frequent: one that stands in both classes alike has log odds near 0.
 4. A url's score is the sum of its words' log odds; above ``THRESHOLD`` it is
    blocked.
 
@@ -40,21 +43,26 @@ from tripfold.llm.shared import ascii_lower, prepare, salted_join, stored
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
-# Phrases that the two classes start from.
+# Words that the two classes start from, by category.
 BLOCK_SEEDS = (
-    "spam farm", "link farm", "cheap pills", "online pharmacy", "viagra", "cialis", "weight loss", "casino", "online casino", "poker", "slots", "jackpot", "betting", "free bets", "casino win", "bonus",
-    "adult", "adult x", "xxx", "porn", "sex", "nude", "escort", "cams", "replica watches", "fake", "payday loans", "free money", "get rich", "crypto giveaway",
-    "lottery winner", "hack", "crack", "keygen", "warez", "torrent", "malware", "phishing", "clickbait", "essay mill", "buy followers", "seo backlinks", "miracle cure",
+    "spam", "junk", "scam", "clickbait", "ads", "adserver", "banner", "popup", "track", "tracker", "tracking", "click", "affiliate",
+    "casino", "poker", "slots", "roulette", "jackpot", "lottery", "bet", "bets", "betting", "gambling",
+    "adult", "xxx", "porn", "sex", "nude", "escort", "cams", "pills", "pharmacy", "viagra", "cialis", "payday", "loans", "giveaway",
+    "replica", "fake", "hack", "crack", "keygen", "warez", "torrent", "malware", "phishing", "backlinks", "followers",
 )
 ALLOW_SEEDS = (
     "news", "blog", "wiki", "docs", "library", "university", "school", "science", "research", "journal", "health", "hospital", "city", "government", "museum", "history",
-    "music", "art", "books", "travel", "recipes", "garden", "weather", "sports", "forum", "support", "developer", "open source", "data", "maps", "shop", "store", "jobs",
+    "music", "art", "books", "travel", "recipes", "garden", "weather", "sports", "forum", "support", "developer", "open", "source", "data", "maps", "shop", "store", "jobs",
     "community", "family", "photo", "video", "the", "and", "about",
 )
 
+#: Longest word that is counted or cut out; a longer run of letters can only be cut into such words and unknown ones.
 MAX_WORD = 24
+#: Of the first fit: added to every seed word. Of the second: what a seed word counts beside the words of urls, and the
+#: weight of the pooled word shares that both classes are smoothed with (so a word that tells nothing has log odds 0).
 ALPHA = 1.0
-COMMON = 0.1
+SEED_COUNT = 0.1
+PRIOR = 1.0
 THRESHOLD = 0.5
 #: Share of the unigram mass that a seed word has at least.
 SEED_SHARE = 1e-5
@@ -146,25 +154,24 @@ def seed_counts() -> tuple[Counter, Counter]:
     return Counter(" ".join(BLOCK_SEEDS).split()), Counter(" ".join(ALLOW_SEEDS).split())
 
 
-def word_log_odds(host_words: DataFrame, hosts: int) -> DataFrame:
-    """word, log_odds (block against allow) from seeds and from all hosts. ``host_words``: distinct (host, word)."""
-    spark = host_words.sparkSession
+def word_log_odds(doc_words: DataFrame) -> DataFrame:
+    """word, log_odds (block against allow) from the seeds and all documents. ``doc_words``: distinct (doc, word)."""
+    spark = doc_words.sparkSession
     block, allow = seed_counts()
     vocabulary = len({*block, *allow})
     odds = lambda w: math.log((block[w] + ALPHA) / (block.total() + ALPHA * vocabulary)) - math.log((allow[w] + ALPHA) / (allow.total() + ALPHA * vocabulary))
     seeds = spark.createDataFrame([(w, float(block[w]), float(allow[w]), odds(w)) for w in sorted({*block, *allow})], "word string, b double, a double, first double")
-    first = host_words.join(F.broadcast(seeds), "word", "left").groupBy("host").agg(F.coalesce(F.sum("first"), F.lit(0.0)).alias("first"))
-    weight = first.select("host", (1 / (1 + F.exp(-F.col("first")))).alias("p"))
-    per_word = host_words.join(weight, "host").groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.sum("p").alias("p"))
-    # a host without any seed word has p = 1/2 and says nothing about the classes, but its words count for the allowed background
-    counted = per_word.join(F.broadcast(seeds), "word", "full").select(
-        "word", F.coalesce("df", F.lit(0)).alias("df"),
-        (F.coalesce("b", F.lit(0.0)) + F.coalesce(F.greatest(F.lit(0.0), 2 * F.col("p") - F.col("df")), F.lit(0.0))).alias("b"),
-        (F.coalesce("a", F.lit(0.0)) + F.coalesce(F.least(F.col("df").cast("double"), 2 * (F.col("df") - F.col("p"))), F.lit(0.0))).alias("a"))
-    counted = stored(counted, "url-words")
-    sums = counted.where(F.col("df") <= COMMON * hosts).agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("v")).first()
-    top = lambda c, total: F.log((F.col(c) + ALPHA) / F.lit((total or 0.0) + ALPHA * max(1, sums["v"])))
-    return counted.where(F.col("df") <= COMMON * hosts).select("word", (top("b", sums["b"]) - top("a", sums["a"])).alias("log_odds"))
+    told = doc_words.join(F.broadcast(seeds.select("word", "first")), "word").groupBy("doc").agg(F.sum("first").alias("first"))
+    weight = stored(told.select("doc", (1 / (1 + F.exp(-F.col("first")))).alias("p")), "url-evidence")
+    share = weight.agg(F.avg("p")).first()[0]
+    either = F.lit(0.5 if share is None else share)
+    per_word = salted_join(doc_words, weight, "doc", SALTS).groupBy("word").agg(F.sum(F.coalesce("p", either)).alias("p"), F.sum(1 - F.coalesce("p", either)).alias("q"))
+    counted = stored(per_word.join(F.broadcast(seeds), "word", "full").select(
+        "word", (SEED_COUNT * F.coalesce("b", F.lit(0.0)) + F.coalesce("p", F.lit(0.0))).alias("b"), (SEED_COUNT * F.coalesce("a", F.lit(0.0)) + F.coalesce("q", F.lit(0.0))).alias("a")), "url-words")
+    sums = counted.agg(F.sum("b").alias("b"), F.sum("a").alias("a")).first()
+    pooled = PRIOR * (F.col("b") + F.col("a")) / F.lit(sums["b"] + sums["a"])
+    top = lambda c: F.log((F.col(c) + pooled) / F.lit(sums[c] + PRIOR))
+    return counted.select("word", (top("b") - top("a")).alias("log_odds"))
 
 
 def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", rules=RULES) -> DataFrame:
@@ -179,12 +186,15 @@ def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
     counts = counts.unionAll(seeds).groupBy("word").agg(F.sum("n").alias("n"))
     total += len({*block, *allow}) * max(1, int(total * SEED_SHARE))
 
+    none = F.lit("")
     url_parts = urls.select("host", "path", F.explode(parts_of(F.col("host"), F.col("path"))).alias("part"))
     words = stored(segmented(url_parts.select("part").distinct(), counts, total), "url-parts")
-    host_parts = url_parts.select("host", "part").distinct()
-    host_words = stored(salted_join(host_parts, words, "part", SALTS, "inner").select("host", F.explode("words").alias("word")).distinct(), "host-words")
-    hosts = urls.where("host <> ''").select("host").distinct().count()
-    log_odds = word_log_odds(host_words, hosts)
+    # distinct hosts and distinct paths are the documents of the model
+    docs = urls.select(F.struct(F.lit("host").alias("kind"), F.col("host").alias("name")).alias("doc"), parts_of(F.col("host"), none).alias("parts")).distinct()
+    docs = docs.unionAll(urls.select(F.struct(F.lit("path").alias("kind"), F.col("path").alias("name")).alias("doc"), parts_of(none, F.col("path")).alias("parts")).distinct())
+    doc_parts = docs.select("doc", F.explode(F.array_distinct("parts")).alias("part"))
+    doc_words = stored(salted_join(doc_parts, words, "part", SALTS, "inner").select("doc", F.explode("words").alias("word")).distinct(), "doc-words")
+    log_odds = word_log_odds(doc_words)
 
     part_words = words.select("part", F.explode("words").alias("word"))
     part_scores = salted_join(part_words, log_odds, "word", SALTS, "inner").groupBy("part").agg(F.sum("log_odds").alias("part_score"))
