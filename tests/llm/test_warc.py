@@ -57,5 +57,22 @@ def test_damaged_payload_is_an_error(spark, pages, tmp_path):
         warc.verified_payloads(spark, path).collect()
 
 
+def test_the_query_reads_rebuilt_records(spark, pages, tmp_path):
+    path = warc.archive(pages, f"file://{tmp_path}/wrong")
+    heads = spark.read.parquet(f"{path}/headers").collect()
+    digest = base64.b32encode(hashlib.sha1(b"z" * 200_000).digest()).decode()
+
+    def with_headers(change):
+        rows = [(r.page_id, r.sha256, change(bytes(r.header))) for r in heads]
+        spark.createDataFrame(rows, "page_id long, sha256 string, header binary").write.mode("overwrite").parquet(f"{path}/headers")
+        return warc.read(spark, path)
+
+    with pytest.raises(Exception, match="wrong payload digest in record of page 8"):
+        with_headers(lambda h: h.replace(digest.encode(), b"A" * 32)).collect()
+    with pytest.raises(Exception, match="not as long as it says"):
+        with_headers(lambda h: h.replace(b"Content-Length: 200000", b"Content-Length: 200001")).collect()
+    assert with_headers(lambda h: h).count() == len(PAGES)
+
+
 def test_empty_table(pages):
     assert warc.round_trip(pages.where("false")).count() == 0

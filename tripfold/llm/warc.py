@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm.shared import prepare, salted_join, shared_dir
+from tripfold.llm.shared import prepare, salted_join, shared_dir, stored
 
 MIN_BYTES = 0
 VERSION = "WARC/1.1"
@@ -150,11 +150,40 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         heads.where("record_type = 'revisit'").select("page_id", F.concat("header", end).alias("record")))
 
 
+_PARSED = "page_id long, record_type string, refers_to long, declared string, block_bytes long, sha1 string"
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fields of whole records, and the digest of their blocks; a record that isn't as long as it says is an error."""
+    for batch in batches:
+        out = []
+        for value in batch.column("record"):
+            head, _, rest = bytes(value.as_py()).partition(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            block, end = rest[:-4], rest[-4:]
+            if end != b"\r\n\r\n" or len(block) != int(fields["Content-Length"]):
+                raise ValueError(f"record {fields['WARC-Record-ID']} is not as long as it says")
+            number = lambda name: int(x) if (x := fields.get(name, "<urn:page:>")[len("<urn:page:") : -1]) else None  # noqa: E731, B023
+            out.append((number("WARC-Record-ID"), fields["WARC-Type"], number("WARC-Refers-To"), fields["WARC-Payload-Digest"].removeprefix("sha1:"), len(block),
+                        base64.b32encode(hashlib.sha1(block).digest()).decode() if fields["WARC-Type"] == "response" else None))
+        cols = list(zip(*out, strict=True)) if out else [()] * 6
+        types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], schema=pa.schema(zip(("page_id", "record_type", "refers_to", "declared", "block_bytes", "sha1"), types, strict=True)))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to, read from the archive. A record whose declared
-    digest is not its payload's raises an error."""
-    found = salted_join(parsed_headers(spark, path).drop("header"), verified_payloads(spark, path), "sha256", SALTS)
-    digest = F.when(F.col("declared") == F.col("sha1"), F.col("sha1")).otherwise(F.raise_error(F.concat(F.lit("wrong payload digest in record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))))
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of the rebuilt records (``records``).
+
+    A response whose payload hasn't the digest that it declares, and a revisit of a payload that no response has, raise an
+    error.
+    """
+    prepare(spark)
+    # both uses below need the fields only, and no payload is rebuilt twice
+    rows = stored(records(spark, path).select("record").mapInArrow(_parse, _PARSED), "warc-records")
+    sizes = rows.where("record_type = 'response'").groupBy("declared").agg(F.max("block_bytes").alias("size"), F.min(F.col("declared") == F.col("sha1")).alias("right"))
+    found = salted_join(rows, sizes, "declared", SALTS)
+    wrong = F.raise_error(F.concat(F.lit("wrong payload digest in record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
+    digest = F.when(F.col("right"), F.col("declared")).otherwise(wrong.cast("string"))
     return found.select("page_id", F.col("size").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
 
 
