@@ -17,12 +17,12 @@ def brute(text):
 
 
 def test_statistics_match_brute_force(spark, docs):
-    got = quality_rules.digest(quality_rules.judged(docs)).drop("kept").collect()
+    got = quality_rules.digest(quality_rules.judged(docs)).drop("kept", "host_rate").collect()
     want = [(i, *brute(t)) for i, t in corpus()]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     odd = [(0, "a\n\na \n a\r\nb"), (1, "\x0bx\x0c y z   *#<>|&%$"), (2, "aa bb cc dd ee aa bb cc dd ee ff" * 2), (3, "x y z v w " * 7), (4, "end f")]
     frame = spark.createDataFrame([(i, t, None) for i, t in odd], "doc_id long, text string, source string")
-    got = quality_rules.digest(quality_rules.judged(frame)).drop("kept").collect()
+    got = quality_rules.digest(quality_rules.judged(frame)).drop("kept", "host_rate").collect()
     assert sorted(map(tuple, got)) == [(i, *brute(t)) for i, t in odd]
 
 
@@ -35,6 +35,21 @@ def test_host_verdicts(spark):
     assert not any(got[1000 + i].kept for i in range(200)) and not got[1000].base_failed
 
 
+def test_rates_are_shrunk_towards_all_hosts(spark):
+    good = "one two three four five six seven eight nine ten eleven %d"
+    rows = [(100 * h + i, "short" if i < bad else good % i, f"h{h}") for h, (n, bad) in enumerate([(40, 4), (40, 8), (40, 20), (3, 3), (50, 0)]) for i in range(n)]
+    got = {r.source: r for r in quality_rules.judged(spark.createDataFrame(rows, "doc_id long, text string, source string").withColumnRenamed("host", "x"), host="source")
+           .selectExpr("host AS source", "host_rate", "host_ok").distinct().collect()}
+    rates = [4 / 40, 8 / 40, 20 / 40, 1.0, 0.0]
+    m = sum(rates) / 5
+    v = sum((x - m) ** 2 for x in rates) / 5
+    strength = max(1.0, min(1e6, m * (1 - m) / v - 1))
+    for h, (n, bad) in enumerate([(40, 4), (40, 8), (40, 20), (3, 3), (50, 0)]):
+        want = (bad + strength * m) / (n + strength)
+        assert abs(got[f"h{h}"].host_rate - want) < 1e-12 and got[f"h{h}"].host_ok == (want <= 0.5)
+    assert sum(r.host_ok for r in got.values()) < 5
+
+
 def test_plan_has_no_python_and_empty_table(docs, no_docs):
     assert quality_rules.judged(no_docs).count() == 0
     plan = quality_rules.statistics(docs)._jdf.queryExecution().executedPlan().toString()

@@ -81,7 +81,7 @@ def failures(stats: DataFrame) -> DataFrame:
 
 
 def host_verdicts(failed: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """host, n_docs, for each rule its shrunk failure rate, and ``host_ok``."""
+    """host, n_docs, for each rule its shrunk failure rate, the highest of them, and ``host_ok``."""
     hosts = failed.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES])
     # beta prior by moments: mean m and variance v of the hosts' rates (two numbers a rule); strength = m (1 - m) / v - 1, between 1 and 1e6
     moments = hosts.agg(*[f(F.col(r) / F.col("n_docs")).alias(f"{r}_{n}") for r in RULES for n, f in (("m", F.avg), ("v", F.var_pop))]).first()
@@ -91,21 +91,22 @@ def host_verdicts(failed: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFra
         strength = max(1.0, min(1e6, m * (1 - m) / v - 1)) if v > 0 else 1e6
         rates[f"{r}_rate"] = (F.col(r) + F.lit(strength * m)) / (F.col("n_docs") + F.lit(strength))
     out = hosts.select("host", "n_docs", *[c.alias(n) for n, c in rates.items()])
-    return out.withColumn("host_ok", F.greatest(*[F.col(n) for n in rates]) <= max_rate)
+    out = out.withColumn("host_rate", F.greatest(*[F.col(n) for n in rates]))
+    return out.withColumn("host_ok", F.col("host_rate") <= max_rate)
 
 
 def judged(docs: DataFrame, max_rate: float = MAX_HOST_RATE, **columns: str) -> DataFrame:
-    """Statistics, rules, base verdict, the host's verdict and ``kept`` of every document."""
+    """Statistics, rules, base verdict, the host's highest rate, its verdict and ``kept`` of every document."""
     stats = failures(stored(statistics(docs, **columns), "quality-stats"))
-    hosts = host_verdicts(stats, max_rate).select(F.coalesce(F.col("host"), F.lit("")).alias("key"), F.col("host").isNull().alias("none"), "host_ok")
-    hosts = hosts.select(F.struct("none", "key").alias("key"), "host_ok")
+    hosts = host_verdicts(stats, max_rate).select(F.coalesce(F.col("host"), F.lit("")).alias("key"), F.col("host").isNull().alias("none"), "host_rate", "host_ok")
+    hosts = hosts.select(F.struct("none", "key").alias("key"), "host_rate", "host_ok")
     keyed = stats.withColumn("key", F.struct(F.col("host").isNull().alias("none"), F.coalesce(F.col("host"), F.lit("")).alias("key")))
     base = (F.col("n_words") < MIN_WORDS) | F.col("repeats")
     return salted_join(keyed, hosts, "key", SALTS).withColumn("base_failed", base).withColumn("kept", ~base & F.col("host_ok")).drop("key")
 
 
 def digest(found: DataFrame) -> DataFrame:
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 6).alias("host_rate"))
 
 
 SQL = rf"""
@@ -122,8 +123,8 @@ rules AS (SELECT r, host, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4])
 h AS (SELECT host, rule, count(*) AS n, count(*) FILTER (failed) AS x FROM rules GROUP BY ALL),
 m AS (SELECT rule, avg(x / n) AS m, var_pop(x / n) AS v FROM h GROUP BY rule),
 st AS (SELECT rule, m, CASE WHEN v > 0 THEN greatest(1.0, least(1e6, m * (1 - m) / v - 1)) ELSE 1e6 END AS st FROM m),
-ok AS (SELECT host, max((x + st * m) / (n + st)) <= {MAX_HOST_RATE} AS host_ok FROM h JOIN st USING (rule) GROUP BY host)
+ok AS (SELECT host, max((x + st * m) / (n + st)) AS host_rate FROM h JOIN st USING (rule) GROUP BY host)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
-       f1 OR f2 AS base_failed, NOT (f1 OR f2) AND host_ok AS kept
+       f1 OR f2 AS base_failed, NOT (f1 OR f2) AND host_rate <= {MAX_HOST_RATE} AS kept, round(host_rate, 6) AS host_rate
 FROM f JOIN ok ON f.host IS NOT DISTINCT FROM ok.host
 """
