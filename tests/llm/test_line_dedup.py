@@ -7,52 +7,54 @@ from tripfold.llm import line_dedup
 
 
 def units(text):
-    out = []
+    """Word numbers [a, b) of the units of a text: lines, cut at sentence ends and before capitals."""
+    out, n = [], 0
     for line in (text or "").split("\n"):
-        own = []
+        last = None
         for w in re.findall(r"[^\x20\x09-\x0D]+", line):
-            if own and (own[-1][-1] in ".!?" or re.match("[A-ZÀ-Þ]", w)):
-                out.append(tuple(map(lower, own)))
-                own = []
-            own.append(w)
-        if own:
-            out.append(tuple(map(lower, own)))
+            if last is None or last[-1] in ".!?" or re.match("[A-ZÀ-Þ]", w):
+                out.append([n, n])
+            last, n = w, n + 1
+            out[-1][1] = n
     return out
 
 
-def runs(texts, least):
-    """Units of runs of ``least`` words that stand earlier, by text."""
-    all_units = [units(t) for t in texts]
-    places, gone = defaultdict(list), []
-    for d, us in enumerate(all_units):
-        for i, u in enumerate(us):
-            places[u].append((d, i))
-    for d, us in enumerate(all_units):
-        own = set()
-        for i, u in enumerate(us):
-            for e, j in places[u]:
-                if (e, j) >= (d, i):
-                    break
-                if i and j and us[i - 1] == all_units[e][j - 1]:
-                    continue
-                n = 0
-                while i + n < len(us) and j + n < len(all_units[e]) and us[i + n] == all_units[e][j + n]:
-                    n += 1
-                if sum(map(len, us[i : i + n])) >= least:
-                    own |= set(range(i, i + n))
-        gone.append(own)
-    return gone
+def kept(texts):
+    """The words that stay of every text, by the operator's contract, one window after the other."""
+    reach, first, out = line_dedup.REACH, {}, []
+    for d, text in enumerate(texts):
+        own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        w, gone = [lower(x) for x in own], set()
+        for i in range(len(w) - reach + 1):
+            e, j = first.setdefault(tuple(w[i : i + reach]), (d, i))
+            if (e, j) != (d, i):  # of a window that overlaps its own first place, only what is behind that goes
+                gone |= set(range(i if e < d else max(i, j + reach), i + reach))
+        final, at = set(), 0
+        while at < len(w):
+            stop = at
+            while stop in gone:
+                stop += 1
+            if stop - at >= line_dedup.PASSAGE:
+                final |= set(range(at, stop))
+            elif stop > at:
+                whole = [x for a, b in units(text) if at <= a and b <= stop for x in range(a, b)]
+                final |= set(whole if len(whole) >= line_dedup.GRAM else [])
+            at = max(stop, at + 1)
+        out.append([x for k, x in enumerate(own) if k not in final])
+    return out
 
 
 def check(spark, rows):
+    """Every text has exactly the words that stay; number of texts that lost any."""
     got = {r.doc_id: r for r in line_dedup.digest(line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), ["doc_id"])).collect()}
-    sure, may = runs([t for _, t in rows], line_dedup.REACH), runs([t for _, t in rows], line_dedup.GRAM)
     hit = 0
-    for (i, text), a, b in zip(rows, sure, may, strict=True):
-        # a run's end may stay where its fingerprints have their first places in different texts
-        assert len(a) - 2 <= got[i].units_deleted <= len(b), i
-        assert len(text.split()) - len(got[i].text.split()) == got[i].words_deleted
-        hit += bool(a)
+    for (i, text), words in zip(rows, kept([t for _, t in rows]), strict=True):
+        assert re.findall(r"[^\x20\x09-\x0D]+", got[i].text or "") == words, i
+        before = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        assert got[i].words_deleted == before - len(words)
+        if len(words) == before:
+            assert got[i].text == text
+        hit += len(words) < before
     return hit
 
 
@@ -88,22 +90,6 @@ def test_line_breaks():
     assert line_dedup.without(f"Start. {run}", [(1, 2)])[0] == "Start."
 
 
-def repeated_words(texts):
-    """Words that lie in a run of ``PASSAGE`` words that stands earlier, and words in one of ``REACH`` words, by text."""
-    out = []
-    for least in (line_dedup.PASSAGE, line_dedup.REACH):
-        seen, gone = {}, []
-        for d, text in enumerate(texts):
-            w, own = [lower(x) for x in text.split()], set()
-            for i in range(len(w) - least + 1):
-                e, j = seen.setdefault(tuple(w[i : i + least]), (d, i))
-                if (e, j) != (d, i):
-                    own |= set(range(i if e < d else max(i, j + least), i + least))
-            gone.append(own)
-        out.append(gone)
-    return out
-
-
 def test_fifty_words_anywhere_go_to_the_word(spark):
     rng = random.Random(11)
     make = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))  # noqa: E731  no unit ends: one unit a text
@@ -113,17 +99,15 @@ def test_fifty_words_anywhere_go_to_the_word(spark):
     long = make(200)
     texts += [" ".join(long.split()[a:b]) for a, b in ((60, 140), (0, 90), (100, 200), (0, 200), (20, 75))]
     texts += [" ".join(x if rng.random() < 0.985 else make(1) for x in long.split()) for _ in range(10)] + ["word " * 300, make(5)]
-    rows = list(enumerate(texts))
-    got = {r.doc_id: r for r in line_dedup.digest(line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), ["doc_id"])).collect()}
-    sure, may = repeated_words(texts)
-    assert sum(map(bool, sure)) > 50
-    for i, text in rows:
-        w = text.split()
-        least, most = [x for k, x in enumerate(w) if k not in may[i]], [x for k, x in enumerate(w) if k not in sure[i]]
-        left = got[i].text.split()
-        assert len(least) <= len(left) <= len(most), i
-        # what stays has all that is repeated nowhere, and nothing of a repeated passage
-        for small, large in ((least, left), (left, most)):
-            rest = iter(large)
-            assert all(x in rest for x in small), i
-        assert got[i].words_deleted == len(w) - len(left)
+    assert check(spark, list(enumerate(texts))) > 50
+
+
+def test_texts_that_repeat_a_word_or_a_line(spark):
+    rng = random.Random(3)
+    line = "Nd, " * 46 + "end."
+    texts = ["Nd, " * 376, "Nd, " * 47 + "x " + "Nd, " * 47, f"{line}\n" * 8, "a b " * 200, " ".join(f"u{rng.randrange(10**6)}" for _ in range(40)) + " Nd, " * 60]
+    short = ["Terms apply to all of this.", "One two three four five six seven eight."]
+    texts += [f"{short[i % 2]}\n{short[(i + 1) % 2]}\n{' '.join(f'v{rng.randrange(10**6)}' for _ in range(12))}" for i in range(40)]
+    block = "\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(6)) for _ in range(6))  # short lines that are repeated together
+    texts += [f"Start {i} here.\n{block}\nStop {i}." for i in range(6)]
+    assert check(spark, list(enumerate(texts))) >= 7
