@@ -26,6 +26,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripfold.llm.shared import named
+
 MAX_TRAIN = 20_000
 TREES = 24
 DEPTH = 3
@@ -49,7 +51,7 @@ class Model(NamedTuple):
 
 def statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """doc and the columns ``FEATURES``: rates by word, so that long and short texts compare."""
-    base = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    base = docs.select(F.struct(*[named(c) for c in keep]).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     split = base.withColumn("w", F.array_remove(F.split("text", _SPACE), ""))
     n = F.greatest(F.size("w"), F.lit(1)).cast("double")
     runs = lambda pattern: F.regexp_count("text", F.lit(pattern)) / n

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfold.llm import arrays as A
-from tripfold.llm.shared import prepare
+from tripfold.llm.shared import named, prepare
 
 WINDOW = 10
 KGRAM = 5
@@ -149,7 +149,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text:
     items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    doc = F.struct(*[F.col(c) for c in keep]).alias("doc")
+    doc = F.struct(*[named(c) for c in keep]).alias("doc")
     out = docs.select(doc, F.col(text).alias("text"))
     schema_doc = out.schema["doc"].dataType
     for number in range(blocks):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripfold.llm.shared import prepare
+from tripfold.llm.shared import named, prepare
 
 #: Lines in a window; characters of a window that start a block and end it; share of the largest block that a block needs.
 WINDOW = 3
@@ -217,7 +217,7 @@ def main_text(page: str | None) -> str:
 def extracted(pages: DataFrame, keep: list[str], html_column: str = "html") -> DataFrame:
     """doc (struct of the columns ``keep``), text, n_chars of every page."""
     prepare(pages.sparkSession)
-    source = pages.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.col(html_column).alias("html"))
+    source = pages.select(F.struct(*[named(c) for c in keep]).alias("doc"), F.col(html_column).alias("html"))
     fields = T.StructType([T.StructField("doc", source.schema["doc"].dataType), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

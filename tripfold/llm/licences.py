@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfold.llm import arrays as A
-from tripfold.llm.shared import prepare, salted_join, stored
+from tripfold.llm.shared import named, prepare, salted_join, stored
 
 COSINE = 0.6
 SALTS = 16
@@ -192,7 +192,7 @@ def directory(path: Column) -> Column:
 def scanned(files: DataFrame, keep: list[str], path: Column, text: str = "text", templates=TEMPLATES) -> DataFrame:
     """doc, path, licence, score, origin (``own``, ``inherited`` or null) and licence_path of every file."""
     prepare(files.sparkSession)
-    source = files.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), path.cast("string").alias("path"), F.col(text).alias("text"))
+    source = files.select(F.struct(*[named(c) for c in keep]).alias("doc"), path.cast("string").alias("path"), F.col(text).alias("text"))
     counted = source.select("text").mapInArrow(_frequencies(Vocabulary(templates)), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = {r["term"]: r["n"] for r in counted.collect()}  # the templates' terms and one total
     vocabulary = Vocabulary(templates, frequency.pop("", 0) or 0, frequency)

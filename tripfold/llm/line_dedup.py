@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfold.llm import arrays as A
-from tripfold.llm.shared import prepare, stored
+from tripfold.llm.shared import named, prepare, stored
 
 GRAM = 20
 REACH = 30
@@ -256,7 +256,7 @@ def deduplicated(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
     key = [F.col(doc_id).alias("id"), F.xxhash64(text).alias("code")]
     ranges = stored(repeated_ranges(docs.select(*key, F.col(text).alias("text")), reach), "ranges")
     side = ranges.select(F.col("id").alias("_id"), F.col("code").alias("_code"), "ranges")
-    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), F.col(text).alias("text"), *key)
+    rows = docs.select(F.struct(*[named(c) for c in keep]).alias("doc"), F.col(text).alias("text"), *key)
     joined = rows.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("code") == F.col("_code")), "left").select("doc", "text", "ranges")
     fields = T.StructType([joined.schema["doc"], T.StructField("text", T.StringType()), T.StructField("units_deleted", T.LongType()), T.StructField("words_deleted", T.LongType())])
     return joined.mapInArrow(_apply(gram), fields)

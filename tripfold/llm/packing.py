@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripfold.llm.shared import prepare, stored
+from tripfold.llm.shared import named, prepare, stored
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -105,7 +105,7 @@ def tokenized(docs: DataFrame, keep: list[str], text: str = "text", capacity: in
     """One row per piece: doc, piece, start, length, ids_crc32, and ``task``, ``nth``: the task that cut it and its
     number there among the pieces of its length."""
     prepare(docs.sparkSession)
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col(f"`{text}`").alias("text"))
+    source = docs.select(F.struct(*[named(c) for c in keep]).alias("doc"), F.col(f"`{text}`").alias("text"))
     fields = T.StructType([T.StructField("doc", source.schema["doc"].dataType)] + T.StructType.fromDDL(
         "piece int, start long, length long, ids_crc32 long, task int, nth long").fields)
 

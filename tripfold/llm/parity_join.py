@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from tripfold.llm import arrays as A
 from tripfold.llm.components import components
-from tripfold.llm.shared import fresh, prepare, salted_join, stored
+from tripfold.llm.shared import fresh, named, prepare, salted_join, stored
 
 WORDS = 5
 HOT = 32
@@ -308,7 +308,7 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     beside = salted_join(found.withColumn("place", place), lead, "label", SALTS).where("NOT place <=> lead").select("id", "code").distinct()
     again = found.groupBy("id", "code").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("id", "code")
     row, code = fresh(docs, "row", "code")
-    rows = docs.select(F.struct(*docs.columns).alias(row), F.xxhash64(text).alias(code))
+    rows = docs.select(F.struct(*[named(c) for c in docs.columns]).alias(row), F.xxhash64(text).alias(code))
 
     def without(left: DataFrame, ids: DataFrame, how: str) -> DataFrame:
         side = ids.select(F.col("id").alias("_id"), F.col("code").alias("_code"))

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripfold.llm import arrays as A
-from tripfold.llm.shared import prepare
+from tripfold.llm.shared import named, prepare
 
 #: A run has at least so many words, and so many times its period.
 LEAST = 6
@@ -237,7 +237,7 @@ def detected(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str
     """doc (struct of the columns ``keep``), n_words, runs (start word, length and period, by start, then period), collapsed (the
     words that no run repeats, joined by one space). ``places`` puts other words of the document in its places first."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").alias("id"))
+    rows = docs.select(F.struct(*[named(c) for c in keep]).alias("doc"), F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").alias("id"))
     fields = T.StructType([rows.schema["doc"], T.StructField("n_words", T.LongType()), T.StructField("runs", RUNS), T.StructField("collapsed", T.StringType())])
     return rows.mapInArrow(_detect(places), fields)
 

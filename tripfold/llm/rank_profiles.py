@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from tripfold.llm import arrays as A
 from tripfold.llm.classifier import held_out
-from tripfold.llm.shared import prepare
+from tripfold.llm.shared import named, prepare
 
 #: N-grams of a profile, and documents of a language that are learned from.
 SIZE = 300
@@ -213,7 +213,7 @@ def _predict(profiles: Profiles, size: int):
 def predicted(docs: DataFrame, profiles: Profiles, keep: list[str], text: str = "text", size: int = SIZE) -> DataFrame:
     """doc (struct of the columns ``keep``), lang_pred, score. The prediction reads the text only."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(F.struct(*[named(c) for c in keep]).alias("doc"), F.col(f"`{text}`").alias("text"))
     fields = T.StructType([rows.schema["doc"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(_predict(profiles, size), fields)
 
