@@ -4,6 +4,7 @@ analyze  – raw/clean counts and the four reports → one CSV each + metrics
 scaling  – the location query on the first 1/3/6/12 files, with timings
 ingest   – incremental partials from a landing folder (Structured Streaming)
 report   – the four reports from a store of partials
+schema   – column types of the trip files against the declared schema
 correct  – exchange one input file in a store for its corrected form
 batches  – what a store holds
 vacuum   – delete a store's folders that no batch needs any more
@@ -26,8 +27,8 @@ from tripfold.plans import reports as Q
 from tripfold.plans.pipeline import report_frames, run_pipeline, store_reports
 from tripfold.session import build_session
 from tripfold.sinks import write_metrics, write_report_csv
-from tripfold.sources.files import (list_files, read_trip_slices, read_trips, read_zones_csv,
-                                    read_zones_parquet)
+from tripfold.sources.files import list_files, read_trip_slices, read_zones_csv, read_zones_parquet
+from tripfold.sources.reconcile import read_reconciled, summary, type_report
 from tripfold.store import PartialsStore
 
 
@@ -48,7 +49,7 @@ def analyze(args) -> None:
     t0 = time.time()
     spark = build_session("tripfold-analyze", master=args.master)
     files = list_files(spark, args.trips)
-    trips = read_trips(spark, files)
+    trips = read_reconciled(spark, files, on_conflict=args.on_conflict)
     store = PartialsStore(spark, args.partials) if args.partials else None
     # the same files make the same batch, so a repeated run replaces its own rows
     batch = args.batch or hashlib.sha1("\n".join(files).encode()).hexdigest()[:16]
@@ -118,6 +119,14 @@ def report(args) -> None:
     spark.stop()
 
 
+def schema(args) -> None:
+    spark = build_session("tripfold-schema", master=args.master)
+    rows = summary(type_report(spark, list_files(spark, args.trips)))
+    for row in rows.orderBy("column", "verdict", "type").collect():  # columns × types that occur
+        _emit(**row.asDict())
+    spark.stop()
+
+
 def correct(args) -> None:
     spark = build_session("tripfold-correct", master=args.master)
     entry = PartialsStore(spark, args.store).correct(args.old, args.new)
@@ -164,6 +173,8 @@ def main(argv=None) -> None:
     a.add_argument("--top", type=int, default=15)
     _rule_options(a, year_required=True)
     _overlap_option(a)
+    a.add_argument("--on-conflict", choices=["fail", "cast"], default="fail",
+                   help="what to do about files whose column types can't be read as declared")
     a.set_defaults(fn=analyze)
     s = sub.add_parser("scaling")
     s.add_argument("--trips", nargs="+", required=True)
@@ -188,6 +199,9 @@ def main(argv=None) -> None:
     r.add_argument("--out", default=None)
     r.add_argument("--top", type=int, default=15)
     r.set_defaults(fn=report)
+    t = sub.add_parser("schema")
+    t.add_argument("--trips", nargs="+", required=True)
+    t.set_defaults(fn=schema)
     c = sub.add_parser("correct")
     c.add_argument("--store", required=True)
     c.add_argument("--old", required=True, help="the file as it was read (must be unchanged)")

@@ -15,7 +15,6 @@ well, so the table is scanned once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,8 +24,11 @@ from tripfold.functions import derive as D
 from tripfold.functions import exact as E
 from tripfold.functions.rules import Rule, apply_rules, bench_rules
 from tripfold.operators.partials import mean
+from tripfold.plans.unions import union_all
 from tripfold.session import scratch_table_path
 
+__all__ = ["SLICE_STEPS", "day_slices", "scaled_slices", "union_all"]
+
 # Twelfths of the table's periods.
 SLICE_STEPS = (1, 3, 6, 12)
 WHOLE = 12
@@ -73,11 +75,6 @@ def scaled_slices(trips: DataFrame, steps: Sequence[int] = SLICE_STEPS,
         "k", S.LOCATION, "trips", mean("sum_tip_pct", "n_tip_pct", digits).alias("avg_tip"))
 
 
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by column name (per-file frames, per-period partials)."""
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def day_slices(trips: DataFrame, bounds: Sequence[str]) -> list[DataFrame]:
     """Split by pickup date at ``bounds`` into disjoint half-open slices.
 
