@@ -23,6 +23,52 @@ def test_unmarked_page_uses_surge_and_dive():
     assert extract.main_text(html) == "\n".join(["A headline that is long enough to see", LONG, MORE])
 
 
+def test_short_lines_of_an_unmarked_article_stay():
+    menu = "<div class=top><a href=a>Home</a> <a href=b>World</a></div>"
+    foot = "<div><p>Contact us</p><p>Imprint</p></div>"
+    parts = ["Headline", "By A. Writer", LONG, "First.", "Second.", "Third.", MORE, LONG, "The end."]
+    body = f"<h1>Headline</h1><p>By A. Writer</p><p>{LONG}</p><ul><li>First.</li><li>Second.</li><li>Third.</li></ul><p>{MORE}</p><div><p>{LONG}</p><p>The end.</p></div>"
+    assert extract.main_text(page(f"<div id=content>{body}</div>", menu, foot)) == "\n".join(parts)
+    assert extract.main_text(page(f"<div><div>{menu}</div><div id=content>{body}</div></div>", "", foot)) == "\n".join(parts)
+    # a second part that is far shorter than the first, after a gap of links
+    gap = "".join(f"<p><a href=x>{LONG}</a></p>" for _ in range(4))
+    html = page(f"<div><p>{MORE * 9}</p>{gap}<p>{LONG}</p></div>", menu, foot)
+    assert extract.main_text(html) == "\n".join([MORE * 9, LONG])
+
+
+def test_surge_and_dive_decide():
+    short = "Some thirty characters of text."
+    html = page(f"<div><p>{short}</p></div>")
+    assert extract.main_text(html) == "" and extract.main_text(html, surge=20) == short
+    gap = "".join(f"<p><a href=x>{LONG}</a></p>" for _ in range(4))
+    for mark in ("div", "article"):
+        html = page(f"<{mark}><p>{LONG}</p>{gap}<p>x</p>{gap}<p>{MORE}</p></{mark}>")
+        assert extract.main_text(html) == "\n".join([LONG, MORE])
+        assert extract.main_text(html, dive=-1) == "\n".join([LONG, *[LONG] * 4, "x", *[LONG] * 4, MORE])  # the sums never dive
+
+
+def test_the_header_of_an_article_is_its_own():
+    html = page(f"<article><header><h1>Headline</h1><nav>no</nav></header><p>{LONG}</p></article>", "<header><h1>Site</h1></header>")
+    assert extract.main_text(html) == f"Headline\n{LONG}"
+
+
+def test_without_its_marks_a_page_gives_the_same_text(spark):
+    import re
+
+    same = total = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        plain = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", r.html or "")
+        total += 1
+        same += extract.main_text(plain) == extract.main_text(r.html)
+    assert same >= 0.98 * total > 100
+
+
+def test_deep_boxes():
+    deep = 3000
+    html = f"{'<div>' * deep}<p>{LONG}</p>{'</div>' * deep}<div><p>x</p></div>"
+    assert extract.main_text(html) == LONG
+
+
 def test_references_white_space_and_broken_markup():
     assert extract.main_text(f"<article><p>a &lt;p&gt; &amp;amp; &#233;&nbsp;b\n\t c <!-- no --> d{LONG}") == f"a <p> &amp; é b c d{LONG}"
     assert extract.main_text(f"<article><p title=don't>{LONG}</p></article>") == LONG

@@ -6,13 +6,16 @@ hold article text (scripts, styles, navigation, headers, footers, sidebars,
 forms, adverts, notices, comments; by tag, role, or a word of their class or
 id) are stripped with the markup. Lengths of text outside links are summed
 over windows of ``WINDOW`` lines. A window sum above ``SURGE`` is a surge; the
-block runs until the sums dive to ``DIVE``. Blocks that hold at least a
-``SHARE`` of the largest block's text are joined in page order.
+block runs until the sums dive to ``DIVE``. A block reaches back over the short
+lines that touch it, so a headline or a byline is not lost.
+
+Blocks may stand anywhere, so the article's place is found from them: the
+innermost box (``div``, ``section`` and the like) that holds ``MAIN`` of their
+text. Lines outside it go, surge and dive are looked for once more among its own
+lines, and all of its blocks are joined in page order.
 
 Where the page marks its article (an ``article`` or ``main`` element, or role
-``main``), only lines inside it take part, every block counts, and the first
-and last block reach to the article's ends, so a headline or a short closing
-paragraph is not lost; otherwise surge, dive and share decide alone.
+``main``), that is the box, and the first and last block reach to its ends.
 
 Defined cases: null or empty html has an empty text. A page without any surge
 (all lines short) gives its longest block of lines, if it marks an article,
@@ -38,15 +41,17 @@ from pyspark.sql import types as T
 
 from tripfold.llm.shared import named, prepare
 
-#: Lines in a window; characters of a window that start a block and end it; share of the largest block that a block needs.
+#: Lines in a window; characters of a window that start a block and end it; share of the blocks' text that the article's box holds.
 WINDOW = 3
 SURGE = 80
 DIVE = 0
-SHARE = 0.25
+MAIN = 0.75
 
 # Element names of HTML.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that hold a part of the page.
+BOXES = frozenset("body div section article main center td".split())
 #: Their content is not markup.
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
 DROPPED = frozenset("head script style noscript template iframe svg math object canvas audio video nav header footer aside form button select textarea input label menu dialog".split())
@@ -70,11 +75,12 @@ class Line(NamedTuple):
     text: str
     linked: int
     article: bool
+    box: int
 
 
-def dropped(tag: str, attributes: str) -> bool:
-    """Whether an element never holds article text."""
-    if tag in DROPPED:
+def dropped(tag: str, attributes: str, article: bool = False) -> bool:
+    """Whether an element never holds article text. The header of an article (not of the page) does."""
+    if tag in DROPPED and not (article and tag == "header"):
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
@@ -92,9 +98,10 @@ def dropped(tag: str, attributes: str) -> bool:
     return False
 
 
-def lines(page: str) -> list[Line]:
-    """The page's lines of text outside dropped elements."""
+def lines(page: str) -> tuple[list[Line], list[int]]:
+    """The page's lines of text outside dropped elements, and for each box the one around it (box 0, the page, is in itself)."""
     out: list[Line] = []
+    around, inner = [0], [0]
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, drops its content, is the article
     opened: Counter[str] = Counter()
@@ -105,7 +112,7 @@ def lines(page: str) -> list[Line]:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append(Line(text, linked, articles > 0))
+                out.append(Line(text, linked, articles > 0, inner[-1]))
             parts.clear()
         linked = 0
 
@@ -122,8 +129,10 @@ def lines(page: str) -> list[Line]:
         opened[tag] -= 1
         drops -= drop
         links -= tag == "a"
-        if article:
+        if article or tag in BOXES:
             flush()
+        if tag in BOXES:
+            inner.pop()
         articles -= article
 
     at, n = 0, len(page)
@@ -158,7 +167,7 @@ def lines(page: str) -> list[Line]:
                 pop()
         if tag in VOID or m[3].rstrip().endswith("/"):
             continue
-        drop = dropped(tag, m[3])
+        drop = dropped(tag, m[3], articles > 0)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}[^>]*(?:>|\Z)", re.I).search(page, at)
             if not drop:
@@ -168,12 +177,15 @@ def lines(page: str) -> list[Line]:
             continue
         article = not drop and not drops and (tag in ("article", "main") or 'role="main"' in m[3].lower())
         stack.append((tag, drop, article))
+        if tag in BOXES:
+            around.append(inner[-1])
+            inner.append(len(around) - 1)
         opened[tag] += 1
         drops += drop
         articles += article
         links += tag == "a"
     flush()
-    return out
+    return out, around
 
 
 def blocks(weights: list[int], window: int = WINDOW, surge: int = SURGE, dive: int = DIVE) -> list[tuple[int, int]]:
@@ -196,22 +208,54 @@ def blocks(weights: list[int], window: int = WINDOW, surge: int = SURGE, dive: i
     return out
 
 
-def main_text(page: str | None) -> str:
-    found = lines(page or "")
-    marked = [x for x in found if x.article]
-    use = marked or found
-    # text in links does not count; outside a marked article, a line of mostly links or few words weighs nothing
-    weights = [max(0, len(x.text) - x.linked) if marked or (2 * x.linked < len(x.text) and len(x.text) >= 25) else 0 for x in use]
-    runs = blocks(weights)
+def reached(weights: list[int], surge: int = SURGE, dive: int = DIVE) -> list[tuple[int, int]]:
+    """``blocks``, each reaching back over the lines with text that touch it."""
+    out, before = [], 0
+    for first, stop in blocks(weights, WINDOW, surge, dive):
+        while first > before and weights[first - 1]:
+            first -= 1
+        out.append((first, stop))
+        before = stop
+    return out
+
+
+def article_box(found: list[Line], weights: list[int], runs: list[tuple[int, int]], around: list[int]) -> list[bool]:
+    """For each box, whether it is the innermost one that holds ``MAIN`` of the blocks' text, or lies in it."""
+    size = [0] * len(around)
+    for a, b in runs:
+        for i in range(a, b):
+            size[found[i].box] += weights[i]
+    for box in range(len(around) - 1, 0, -1):  # a box stands after the one around it
+        size[around[box]] += size[box]
+    main = 0
+    for box in range(1, len(around)):
+        if around[box] == main and size[box] >= MAIN * size[0]:
+            main = box
+    inside = [False] * len(around)
+    for box in range(main, len(around)):
+        inside[box] = box == main or inside[around[box]]
+    return inside
+
+
+def main_text(page: str | None, surge: int = SURGE, dive: int = DIVE) -> str:
+    found, around = lines(page or "")
+    # text in links does not count, and a line of mostly links weighs nothing; in a marked article any text of its own does
+    marked = any(x.article for x in found)
+    weigh = lambda use: [max(0, len(x.text) - x.linked) if marked or 2 * x.linked < len(x.text) else 0 for x in use]
     if marked:
-        # the article's own headline and short closing paragraphs belong to its first and last block; lines of links only do not
+        use = [x for x in found if x.article]
+        weights = weigh(use)
+        runs = reached(weights, surge, dive)
         solid = [i for i, w in enumerate(weights) if w] or list(range(len(use)))
         runs = runs or [(solid[0], solid[-1] + 1)]
         runs[0] = (solid[0], runs[0][1])
         runs[-1] = (runs[-1][0], solid[-1] + 1)
-    size = [sum(weights[a:b]) for a, b in runs]
-    top = max(size, default=0)
-    return "\n".join(x.text for (a, b), s in zip(runs, size, strict=True) if marked or s >= SHARE * top for x in use[a:b])
+    else:
+        weights = weigh(found)
+        inside = article_box(found, weights, blocks(weights, WINDOW, surge, dive), around)
+        use = [x for x in found if inside[x.box]]
+        runs = reached(weigh(use), surge, dive)
+    return "\n".join(x.text for a, b in runs for x in use[a:b])
 
 
 def extracted(pages: DataFrame, keep: list[str], html_column: str = "html") -> DataFrame:
