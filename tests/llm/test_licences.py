@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter
 
 import pytest
@@ -24,6 +25,43 @@ def test_own_and_inherited(files):
         "a/b/LICENCE.md": ("MIT", "inherited", "a/LICENSE"), None: (None, None, None), "q/long.txt": ("MIT", "own", "q/long.txt")}
 
 
+COMMON = "/usr/share/common-licenses"
+NAMES = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+         "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+
+
+@pytest.mark.skipif(not os.path.isdir(COMMON), reason="no licence texts on this machine")
+def test_whole_licence_texts_are_named_and_inherited(spark):
+    rows = []
+    for i, (file, want) in enumerate(sorted(NAMES.items())):
+        if os.path.exists(f"{COMMON}/{file}"):
+            with open(f"{COMMON}/{file}", encoding="utf-8", errors="replace") as f:
+                rows += [(f"p{i}/{['LICENSE', 'COPYING', 'LICENCE.txt', 'license.md'][i % 4]}", f.read(), want), (f"p{i}/src/code.py", "x = 1", want)]
+    assert len(rows) > 10
+    files = spark.createDataFrame(rows, "path string, text string, want string").repartition(3)
+    got = licences.scanned(files, ["want"], F.col("path")).collect()
+    assert {r.path: r.licence for r in got} == {p: want for p, _, want in rows}
+    assert {r.origin for r in got if r.path.endswith(".py")} == {"inherited"}
+
+
+def test_notices_of_several_versions(spark):
+    program = "# This program is free software; you can redistribute it and/or modify it\n# under the terms of the GNU General Public License as published by the\n# Free Software Foundation; either version %s of the License, or\n# (at your option) any later version.\n\nint main() {}"
+    library = "/* This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version %s of the License, or (at your option) any later version. */"
+    two = ("Copyright (c) 2020 A. Writer\n\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, "
+           "this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n")
+    three = two + "\nNeither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    want = {"a/x.c": (program % 2, "GPL-2.0"), "a/y.c": (program % 3, "GPL-3.0"), "b/x.h": (library % "2.1", "LGPL-2.1"), "b/y.h": (library % 3, "LGPL-3.0"), "c/LICENSE": (two, "BSD-2-Clause"), "d/LICENSE": (three, "BSD-3-Clause")}
+    files = spark.createDataFrame([(p, t) for p, (t, _) in want.items()], "path string, text string")
+    assert {r.path: r.licence for r in licences.scanned(files, ["path"], F.col("path")).collect()} == {p: w for p, (_, w) in want.items()}
+
+
+def test_a_source_file_passes_nothing_on(spark):
+    notice = "Released under the MIT License."
+    files = spark.createDataFrame([("a/main.c", notice), ("a/other.c", "int x;"), ("b/7", notice), ("b/8", "text"), ("c/LICENSE", "nothing that is known"), ("c/x", "text"), ("d/MIT-LICENSE.txt", notice), ("d/x.py", "pass")], "path string, text string")
+    got = {r.path: r.licence for r in licences.scanned(files, ["path"], F.col("path")).collect()}
+    assert got == {"a/main.c": "MIT", "a/other.c": None, "b/7": "MIT", "b/8": "MIT", "c/LICENSE": None, "c/x": None, "d/MIT-LICENSE.txt": "MIT", "d/x.py": "MIT"}
+
+
 def test_a_licence_at_the_root_holds_for_all(spark):
     files = spark.createDataFrame([("LICENSE", MIT), ("x/y/z.py", "pass"), ("w.py", "")], "path string, text string")
     assert {r.licence for r in licences.scanned(files, ["path"], F.col("path")).collect()} == {"MIT"}

@@ -7,15 +7,18 @@ the table bounded. A word outside the templates weighs as one that no line has,
 so a block with much other text is no licence notice. The best template of
 the best block is the file's own licence if the cosine reaches ``COSINE``.
 
-A file whose whole text reaches it is a licence file of its directory. A file
+A file that is named as one (``LICENSE``, ``COPYING``) and has a licence is a
+licence file of its directory; the title of a licence text is a template, so long
+texts are known by it. So is a file without an ending whose whole text is a
+notice. A source file with a notice at its head passes nothing on. A file
 without an own licence inherits that of the nearest directory above it (its own
 included): distinct directories are joined with licence directories by their
 ancestors, and the answer goes back to the files by a salted join, so neither a
 root directory nor one huge directory meets in one task.
 
 Defined cases: null or empty text has no licence of its own, a null path is a
-file at the root. Among equal scores the first licence by name holds, among
-licence files of a directory the best score, then the smallest path. Repeated
+file at the root. Among equal scores the licence whose text holds the other's
+holds, else the first by name, among licence files of a directory the best score, then the smallest path. Repeated
 rows are judged one by one. Empty tables give empty results. Other columns are
 carried in ``doc``.
 """
@@ -39,8 +42,28 @@ COSINE = 0.6
 SALTS = 16
 _FOLD = A.alphanumeric_words()
 
-# Licence notices as they are commonly written.
+# Titles of licence texts, and licence notices as they are commonly written.
 TEMPLATES = (
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Artistic-1.0", "The \"Artistic License\""),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-3-Clause", "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("GFDL-1.2", "GNU Free Documentation License Version 1.2, November 2002"),
+    ("GFDL-1.3", "GNU Free Documentation License Version 1.3, 3 November 2008"),
+    ("GPL-1.0", "GNU GENERAL PUBLIC LICENSE Version 1, February 1989"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.0", "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MPL-1.1", "MOZILLA PUBLIC LICENSE Version 1.1"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
@@ -68,6 +91,15 @@ TEMPLATES = (
 )
 
 
+#: Licences whose text holds another one's whole text.
+HOLDS = {"BSD-3-Clause": "BSD-2-Clause"}
+
+
+def preferred(a: str, b: str) -> bool:
+    """Whether ``a`` comes before ``b`` at the same score: a text that holds the other one, else by name."""
+    return HOLDS.get(a) == b or (HOLDS.get(b) != a and a < b)
+
+
 def terms(text: str) -> list[str]:
     part = next(A.slices(pa.array([text])))
     w = A.words(part, _FOLD)
@@ -175,7 +207,7 @@ def _scan(vocabulary: Vocabulary):
                     for at, k, c in zip(owner.tolist(), which.tolist(), cosine.tolist(), strict=True):
                         if is_whole:
                             whole[at] = c
-                        if c > score[at] + 1e-12 or (abs(c - score[at]) <= 1e-12 and (name[at] < 0 or vocabulary.names[k] < vocabulary.names[name[at]])):
+                        if c > score[at] + 1e-12 or (abs(c - score[at]) <= 1e-12 and (name[at] < 0 or preferred(vocabulary.names[k], vocabulary.names[name[at]]))):
                             score[at], name[at] = c, k
             found = [vocabulary.names[k] if k >= 0 and s >= COSINE else None for k, s in zip(name, score, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -184,6 +216,19 @@ def _scan(vocabulary: Vocabulary):
     return run
 
 
+#: Names of licence files, and endings of files that hold something else, whatever notice they begin with.
+LICENCE_NAME = r"(?i)^(.*[-._])?(un)?licen[cs]es?([-._].*)?$|^copying([-._].*)?$|^copyright([-._].*)?$"
+SOURCE_NAME = r"\.[A-Za-z][A-Za-z0-9+]{0,9}$"
+
+
+def may_pass_on(path: Column, own: Column, whole: Column) -> Column:
+    """Whether a file's licence holds for the files beside and below it: a file named as a licence that holds one, or a file
+    without an ending whose whole text is a notice (``whole``)."""
+    name = F.regexp_extract(F.coalesce(path, F.lit("")), r"(?s)([^/]*)$", 1)
+    by_name = name.rlike(LICENCE_NAME)
+    return own.isNotNull() & (by_name | (whole & ~name.rlike(SOURCE_NAME)))
+
+
 def directory(path: Column) -> Column:
     """All before the last ``/``, else the empty root."""
     return F.regexp_extract(F.coalesce(path, F.lit("")), r"(?s)^(.*)/[^/]*$", 1)
@@ -198,7 +243,7 @@ def scanned(files: DataFrame, keep: list[str], path: Column, text: str = "text",
     vocabulary = Vocabulary(templates, frequency.pop("", 0) or 0, frequency)
     fields = T.StructType([source.schema["doc"], T.StructField("path", T.StringType()), *T.StructType.fromDDL("own string, score double, is_licence_file boolean").fields])
     own = stored(source.mapInArrow(_scan(vocabulary), fields), "licences").withColumn("dir", directory(F.col("path")))
-    held = own.where("is_licence_file").groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("score")).alias("less"), F.coalesce("path", F.lit("")).alias("path"), "own")).alias("x"))
+    held = own.where(may_pass_on(F.col("path"), F.col("own"), F.col("is_licence_file"))).groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("score")).alias("less"), F.coalesce("path", F.lit("")).alias("path"), "own")).alias("x"))
     held = held.select("above", F.col("x.own").alias("inherited"), F.col("x.path").alias("from"))
     # a/b/c → a/b/c, a/b, a and the root
     parts = F.split("dir", "/")
