@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on the sf0.001 tables."""
+"""Every registered query against its DuckDB oracle on the sf0.01 tables."""
 
 import math
 
