@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 from helpers import corpus, lower, prose
 from tripfold.llm import line_dedup
 
@@ -111,3 +112,21 @@ def test_texts_that_repeat_a_word_or_a_line(spark):
     block = "\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(6)) for _ in range(6))  # short lines that are repeated together
     texts += [f"Start {i} here.\n{block}\nStop {i}." for i in range(6)]
     assert check(spark, list(enumerate(texts))) >= 7
+
+
+def test_texts_are_cut_by_the_slice_and_not_into_each_other(monkeypatch):
+    """A batch is a few slices, not a pass for each text (that took half of the operator's Python time); a stretch ends with its text."""
+    made = []
+    kind = line_dedup.Units
+    monkeypatch.setattr(line_dedup, "Units", lambda part: made.append(1) or kind(part))
+    line = " ".join(f"w{i}" for i in range(40))  # one unit without an end: deleted as a whole only
+    rows = [(f"{line}\n{line}", [(10, 40), (40, 70)]), (line, [(0, 30)]), (line, [(10, 40)]), (line, [(0, 40)]), (None, None), ("", None), (f" {line} ", None), (f"Ü. A {line}.\n\nEnd é.", [(1, 42)])]
+    left = [(" ".join(line.split()[:10]) + "\n" + " ".join(line.split()[30:]), 0, 60), (line, 0, 0), (line, 0, 0), ("", 0, 40), (None, 0, 0), ("", 0, 0), (f" {line} ", 0, 0), ("Ü.\nEnd é.", 1, 41)]
+    n = 50
+    ranges = pa.array([[{"start": a, "stop": b} for a, b in r] if r else None for _, r in rows] * n, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows) * n)), pa.array([t for t, _ in rows] * n, pa.string()), ranges], names=["doc", "text", "ranges"])
+    for some in (batch, batch.slice(len(rows), 2 * len(rows)), batch.slice(4, 3), batch.slice(0, 0)):
+        made.clear()
+        out = next(line_dedup._apply(line_dedup.GRAM)(iter([some])))
+        assert list(zip(*(c.to_pylist() for c in out.columns[1:]), strict=True)) == [left[i % len(rows)] for i in some.column("doc").to_pylist()]
+        assert len(made) <= 1

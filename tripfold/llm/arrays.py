@@ -102,7 +102,8 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
         at = to
 
 
-def words(texts: Texts, fold: np.ndarray) -> Words:
+def borders(texts: Texts, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte of each word, the byte behind it, and the words of each row, as in ``Words``."""
     data, offsets = texts.data, texts.offsets
     inside = (fold != 0)[data]
     n = len(data)
@@ -113,8 +114,13 @@ def words(texts: Texts, fold: np.ndarray) -> Words:
     after[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    bounds = np.searchsorted(start, offsets)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
+    return start, end, np.searchsorted(start, offsets)
+
+
+def words(texts: Texts, fold: np.ndarray) -> Words:
+    start, end, bounds = borders(texts, fold)
+    data, n = texts.data, len(texts.data)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     value = _BYTE[fold & 255][data]
     value *= powers(_BASE, n)
     total = np.zeros(n + 1, np.uint64)
